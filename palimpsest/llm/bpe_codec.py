@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Memo, map_rows
-from .merges import SMALL, SPACE, MergeTable, byte_letters, merge, shadow
+from .merges import SMALL, SPACE, MergeTable, byte_letters, merge, merge_short, shadow
 
 _CHUNK = re.compile(f"[^{SPACE}]+")
 END = "</w>"
@@ -36,7 +36,7 @@ class Encoded(NamedTuple):
 class WordCodec:
     """Encodes and decodes as the tokenizer library does for a lower-casing BPE with word ends."""
 
-    def __init__(self, table: MergeTable, memo: int = 200_000) -> None:
+    def __init__(self, table: MergeTable, memo: int = 400_000) -> None:
         self.ranks, self.specials = table.ranks, table.specials
         self.token = {i: t for t, i in table.vocab.items()} | {i: t for t, i in table.specials.items()}
         letters = byte_letters()
@@ -52,6 +52,7 @@ class WordCodec:
                 (self.joined_last if ends and i == len(own) - 2 else self.joined)[a << 8 | b] = 1
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(table.specials, key=len, reverse=True))) + ")") if table.specials else None
         self.fragments = Memo(self._fragment, memo)
+        self.words = Memo(self._word, memo)
         self.chunks = Memo(self._chunk, memo)
 
     def cuts(self, word: bytes) -> list[bytes]:
@@ -69,19 +70,34 @@ class WordCodec:
         symbols = [self.inner[b] for b in fragment]
         if last:
             symbols[-1] = self.last[fragment[-1]]
+        if len(symbols) < 64:
+            return merge_short(symbols, self.ranks)
         return [s for s in merge(symbols, self.ranks)[0] if s >= 0]
 
-    def _chunk(self, chunk: str) -> Encoded:
-        # The library lowers letter by letter, without the rule for a final sigma.
-        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").translate(SMALL).lower()
+    def _word(self, word: str) -> Encoded:
         ids: list[int] = []
-        for found in _WORDS.finditer(shadow(lowered)):
-            parts = self.cuts(lowered[found.start() : found.end()].encode())
-            for k, part in enumerate(parts, 1):
-                key = part, k == len(parts)
-                ids += self.fragments[key] if len(part) < 64 else self._fragment(key)
+        parts = self.cuts(word.encode())
+        last = len(parts) - 1
+        for k, part in enumerate(parts):
+            key = part, k == last
+            ids += self.fragments[key] if len(part) < 64 else self._fragment(key)
         return Encoded(struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
 
+    def _chunk(self, chunk: str) -> Encoded:
+        if chunk.isascii():
+            lowered = chunk.lower()
+        else:
+            # The library lowers letter by letter, without the rule for a final sigma.
+            lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").translate(SMALL).lower()
+        if lowered.isalpha():
+            words = [lowered]
+        elif lowered.isascii():
+            words = _WORDS.findall(lowered)
+        else:
+            words = [lowered[m.start() : m.end()] for m in _WORDS.finditer(shadow(lowered))]
+        got = [self.words[w] if len(w) < 64 else self._word(w) for w in words]
+        return got[0] if len(got) == 1 else Encoded(b"".join([e.ids for e in got]), " ".join([e.tokens for e in got]))
+
     def _plain(self, text: str) -> list[Encoded]:
         chunks = self.chunks
         return [chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text)]

@@ -55,15 +55,22 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
+_WORKER: dict = {}
+
+
 def map_rows(
     df: DataFrame, fn: Callable[..., tuple], columns: list[str], schema: str, setup: Callable[[], object] | None = None
 ) -> DataFrame:
     """Run ``fn`` over Arrow batches of ``columns``: it gets the optional ``setup()``
-    state and one Python list a column, and gives one list an output column."""
+    state and one Python list a column, and gives one list an output column.  A Python
+    worker makes the state once and uses it for all its tasks of this call."""
     arrow = arrow_schema(df.sparkSession, schema)
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = (setup(),) if setup else ()
+        if setup and _WORKER.get("token") != token:
+            _WORKER.update(token=token, state=setup())
+        state = (_WORKER["state"],) if setup else ()
         for batch in batches:
             got = fn(*state, *(c.to_pylist() for c in batch.columns))
             yield pa.RecordBatch.from_arrays(
