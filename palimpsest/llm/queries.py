@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import apportion_mix, bpe_codec, ftrl_toxicity, html_consensus, ngram_join, quartile_digest, rff_quality, suffix_tree_lm, token_count
+from . import apportion_mix, bpe_codec, ftrl_toxicity, hilbert_ann, html_consensus, ngram_join, quartile_digest, rff_quality, suffix_tree_lm, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_token_counts": op2_token_counts,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
+    "op10_hilbert_ann": op10_hilbert_ann,
 }
 
 #: Sainte-Lague seats are the blocks of the highest quotients target / (2 k - 1); a
