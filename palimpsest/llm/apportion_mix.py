@@ -7,7 +7,10 @@ shard a seeded order of the documents says which blocks are taken.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,18 +146,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole time a document
     is taken, and one with its first words for what is taken beyond; n_chars follows
     the text.  Documents without words take no part."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def first_words(texts: pd.Series, most: pd.Series) -> pd.Series:
-        import re
-
         word = re.compile(WORD)
 
-        def begin(t, k):
-            if t is None:
-                return None
-            for i, m in enumerate(word.finditer(t), 1):
+        def begin(t: str | None, k: int) -> str | None:
+            for i, m in enumerate(word.finditer(t or ""), 1):
                 if i == k:
                     return t[: m.end()]
             return t

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,9 +117,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
-
+    def scored(texts: pd.Series) -> pd.Series:
         features, weights = _state(shared.value)
         margins = np.array([weights[features.of(t)].sum(dtype=np.float64) for t in texts]) + shared.value.bias
         return pd.Series(1 / (1 + np.exp(-np.clip(margins, -35, 35))))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -187,9 +188,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
-
+    def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.score(_table(list(texts))))
 
     value = scored(F.col(text).cast("string"))
