@@ -5,8 +5,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from ..schemas import REFERENCE_DDL
+from ..schemas import REFERENCE
 from .wikitext import extract_references, normalize_wikitext, template_name, template_offset
 
 
@@ -26,12 +27,12 @@ def references_with_normal_form(text: str | None, domain: str | None) -> list[di
     return out
 
 
-@F.pandas_udf(f"array<{REFERENCE_DDL}>")
+@F.pandas_udf(ArrayType(REFERENCE))
 def parse_refs(texts: pd.Series, domains: pd.Series) -> pd.Series:
     return pd.Series([references_with_normal_form(t, d) for t, d in zip(texts, domains)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize(texts: pd.Series) -> pd.Series:
     return pd.Series([normalize_wikitext(t) for t in texts], dtype=object)
 

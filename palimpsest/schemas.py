@@ -8,7 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, ShortType, StringType, StructField, StructType
+
+_TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(), "smallint": ShortType()}
+
+
+def struct(columns: str) -> StructType:
+    """A flat schema from "name type, ...", without a running session."""
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in columns.split(","))])
+
 
 DDL = {
     "containers": "label string",
@@ -26,7 +34,7 @@ DDL = {
         "parameter_value string"
     ),
 }
-STAGED: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in DDL.items()}
+STAGED: dict[str, StructType] = {name: struct(ddl) for name, ddl in DDL.items()}
 
 
 @dataclass(frozen=True)
@@ -75,13 +83,18 @@ SERVED_DDL = {
     ),
     "revision_bundles": "id int, file_path string",
 }
-SERVED: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in SERVED_DDL.items()}
+SERVED: dict[str, StructType] = {name: struct(ddl) for name, ddl in SERVED_DDL.items()}
 
-REVISION = StructType.fromDDL(
+REVISION = struct(
     "page_id int, namespace_id int, revision_id bigint, parent_revision_id bigint, revision_timestamp string, revision_text string"
 )
-REFERENCE_DDL = (
-    "struct<raw_reference:string, offset_start:int, length:int, reference_type:smallint, reference_name:string, "
-    "urls:array<string>, templates:array<struct<template_name:string, full_text:string, "
-    "parameters:array<struct<key:string, value:string>>>>, normalized:string, template_offsets:array<int>>"
+_PARAMETER = struct("key string, value string")
+_TEMPLATE = struct("template_name string, full_text string").add("parameters", ArrayType(_PARAMETER))
+#: An extracted reference, its normal form, and the places of its templates there.
+REFERENCE = (
+    struct("raw_reference string, offset_start int, length int, reference_type smallint, reference_name string")
+    .add("urls", ArrayType(StringType()))
+    .add("templates", ArrayType(_TEMPLATE))
+    .add("normalized", StringType())
+    .add("template_offsets", ArrayType(IntegerType()))
 )
