@@ -55,6 +55,8 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
+#: Rows that a Python worker turns into objects at a time.
+CHUNK = 512
 _WORKER: dict = {}
 
 
@@ -71,11 +73,12 @@ def map_rows(
         if setup and _WORKER.get("token") != token:
             _WORKER.update(token=token, state=setup())
         state = (_WORKER["state"],) if setup else ()
-        for batch in batches:
-            got = fn(*state, *(c.to_pylist() for c in batch.columns))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, type=f.type) for v, f in zip(got, arrow, strict=True)], schema=arrow
-            )
+        for whole in batches:
+            for i in range(0, whole.num_rows, CHUNK):
+                got = fn(*state, *(c.to_pylist() for c in whole.slice(i, CHUNK).columns))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, type=f.type) for v, f in zip(got, arrow, strict=True)], schema=arrow
+                )
 
     return df.select(*columns).mapInArrow(run, schema)
 

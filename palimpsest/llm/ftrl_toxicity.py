@@ -10,12 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, fold, map_rows
+from .common import CHUNK, Memo, fold, map_rows
 from .labelled import labelled_sample
 
 _EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»…“”‘’"
@@ -116,11 +116,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
         features, weights = _state(shared.value)
-        margins = np.array([weights[features.of(t)].sum(dtype=np.float64) for t in texts]) + shared.value.bias
-        return pd.Series(1 / (1 + np.exp(-np.clip(margins, -35, 35))))
+        margins = np.empty(len(texts))
+        for i in range(0, len(texts), CHUNK):
+            for k, t in enumerate(texts.slice(i, CHUNK).to_pylist(), i):
+                margins[k] = weights[features.of(t)].sum(dtype=np.float64) + shared.value.bias
+        return pa.array(1 / (1 + np.exp(-np.clip(margins, -35, 35))))
 
     value = scored(F.col(text).cast("string"))
     base = docs.withColumn("score", value) if keep else docs.select(F.col(key).alias(key), value.alias("score"))

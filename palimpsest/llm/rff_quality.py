@@ -14,12 +14,11 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold
+from .common import CHUNK, cut, fold
 from .labelled import labelled_sample
 
 STATISTICS = (
@@ -142,8 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _table(batch["text"].to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch["y"]], names=["x", "y"])
+            for i in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(i, CHUNK)
+                x = _table(part["text"].to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), part["y"]], names=["x", "y"])
 
     rows = cut(sample.select("text", "y").mapInArrow(measured, "x array<double>, y double"), "quality-sample")
     d, m = len(STATISTICS), params.features
@@ -187,9 +188,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(_table(list(texts))))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        # A few hundred texts at a time: a batch may hold very many, or very long ones.
+        parts = [shared.value.score(_table(texts.slice(i, CHUNK).to_pylist())) for i in range(0, len(texts), CHUNK)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0))
 
     value = scored(F.col(text).cast("string"))
     base = docs.withColumn("score", value) if keep else docs.select(F.col(key).alias(key), value.alias("score"))
