@@ -60,6 +60,13 @@ CHUNK = 512
 _WORKER: dict = {}
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of CHUNK rows, so that few rows become objects at once."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, CHUNK):
+            yield batch.slice(i, CHUNK)
+
+
 def map_rows(
     df: DataFrame, fn: Callable[..., tuple], columns: list[str], schema: str, setup: Callable[[], object] | None = None
 ) -> DataFrame:
@@ -73,12 +80,11 @@ def map_rows(
         if setup and _WORKER.get("token") != token:
             _WORKER.update(token=token, state=setup())
         state = (_WORKER["state"],) if setup else ()
-        for whole in batches:
-            for i in range(0, whole.num_rows, CHUNK):
-                got = fn(*state, *(c.to_pylist() for c in whole.slice(i, CHUNK).columns))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, type=f.type) for v, f in zip(got, arrow, strict=True)], schema=arrow
-                )
+        for batch in slices(batches):
+            got = fn(*state, *(c.to_pylist() for c in batch.columns))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, type=f.type) for v, f in zip(got, arrow, strict=True)], schema=arrow
+            )
 
     return df.select(*columns).mapInArrow(run, schema)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, cut
+from .common import arrow_schema, cut, slices
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
@@ -257,7 +257,7 @@ def extract_pages(
     rows = pages.select(F.col(key).alias("k"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"), host.alias("host"))
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [(h, *v) for h, t in zip(batch["host"].to_pylist(), batch["h"].to_pylist()) if (v := vote(t))]
             columns = list(zip(*found)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64()))], names=["host", "path", "vote"])
@@ -279,7 +279,7 @@ def extract_pages(
     arrow = arrow_schema(spark, ddl)
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = [extract(h, p or []) for h, p in zip(batch["h"].to_pylist(), batch["paths"].to_pylist())]
             texts = [t for t, _ in got]
             columns = [batch["k"], batch["u"], texts, [len(t) for t in texts], batch["host"], [p for _, p in got]]

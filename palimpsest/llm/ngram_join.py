@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, cut
+from .common import Memo, cut, slices
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -145,7 +145,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bander = Shingler(params.n), Bander(params)
-        for batch in batches:
+        for batch in slices(batches):
             grams = [shingler.of(t) for t in batch["t"].to_pylist()]
             marks = [_mark(g) for g in grams]
             bands = [bander.of(g).tobytes() if len(g) else None for g in grams]
@@ -183,7 +183,7 @@ def _mark(grams: np.ndarray) -> bytes | None:
 
 def _bands(classes: DataFrame, params: Params) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             hashes = np.frombuffer(b"".join(batch["bands"].to_pylist()), np.int64)
             at = pa.array(np.repeat(np.arange(n), params.bands))
@@ -208,7 +208,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(params.n)
-        for batch in batches:
+        for batch in slices(batches):
             s = batch["s"].to_numpy()
             keep = pa.array((shared.value[s >> 6] >> (s & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
             grams = [shingler.of(t) for t in batch["t"].filter(keep).to_pylist()]
@@ -228,7 +228,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     b = sets.select(F.col("mark").alias("b"), F.col("copies").alias("copies_b"), F.col("grams").alias("grams_b"))
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = [
                 jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= params.threshold - 1e-12
                 if min(len(x), len(y)) >= params.threshold * max(len(x), len(y))

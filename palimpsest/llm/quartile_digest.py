@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema
+from .common import arrow_schema, slices
 
 BUCKETS = 256
 #: What two unrelated texts differ by on average, or more: likeness 0.
@@ -111,7 +111,7 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # key, text and digest of the row that waits for its next
         at = None
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for k, t, r, guest in zip(batch["k"].to_pylist(), batch["t"].to_pylist(), batch["r"].to_pylist(), batch["guest"].to_pylist()):
                 if held is None and guest and r == at:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, cut, fold
+from .common import CHUNK, cut, fold, slices
 from .labelled import labelled_sample
 
 STATISTICS = (
@@ -140,11 +140,9 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     sample = labelled_sample(docs, labels, "quality", 4, 2, params.sample)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(i, CHUNK)
-                x = _table(part["text"].to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), part["y"]], names=["x", "y"])
+        for batch in slices(batches):
+            x = _table(batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch["y"]], names=["x", "y"])
 
     rows = cut(sample.select("text", "y").mapInArrow(measured, "x array<double>, y double"), "quality-sample")
     d, m = len(STATISTICS), params.features

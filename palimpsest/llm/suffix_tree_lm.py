@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, cut, fold
+from .common import Memo, cut, fold, slices
 
 #: Stands for the end of a text; no word holds a space.
 END = b" "
@@ -103,7 +103,7 @@ def word_counts(docs: DataFrame, params: Params) -> DataFrame:
             counts.clear()
             return out
 
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch["t"].to_pylist():
                 counts.update(tokens(t))
                 counts[END] += 1
@@ -119,7 +119,7 @@ def _dense_counts(docs: DataFrame, codes, size: int) -> np.ndarray:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, total = codes(None, None), np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             waiting: list[np.ndarray] = []
             for t in batch["t"].to_pylist():
                 waiting.append(codes(state, tokens(t)))
@@ -235,7 +235,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
             return (key, 0.0) if n is None else (None, float(np.log10((n + 0.1) / whole)))
 
         logs = Memo(logged, 300_000)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in range(6)]
             for t in batch["t"].to_pylist():
                 words = tokens(t)
