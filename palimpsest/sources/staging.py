@@ -37,10 +37,11 @@ def write_deduped(df: DataFrame, root: str, table: str, block_mb: int = 128) ->
     df.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", block_mb << 20).parquet(f"{root}/{table}")
 
 
-def write_jsonl(df: DataFrame, path: str, rows_a_file: int = ROWS_A_SHARD) -> None:
-    """Zstandard JSON lines, rotated by rows; what JSON has no type for is written as text."""
+def write_jsonl(df: DataFrame, path: str, rows_a_file: int = ROWS_A_SHARD, codec: str = "gzip") -> None:
+    """Compressed JSON lines, rotated by rows; what JSON has no type for is written as text.
+    The codec is one that Spark has; zstd needs a native library on the executors."""
     plain = [F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() in ("binary", "timestamp", "date", "decimal") else F.col(f.name) for f in df.schema]
-    df.select(*plain).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).json(path)
+    df.select(*plain).write.mode("overwrite").option("compression", codec).option("maxRecordsPerFile", rows_a_file).json(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
