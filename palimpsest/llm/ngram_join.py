@@ -162,7 +162,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
 
     small = buckets.where(F.col("m") <= params.small)
     pairs = small.select("band", "hash", F.col("mark").alias("a")).join(small.select("band", "hash", F.col("mark").alias("b")), ["band", "hash"])
-    close = _verified(pairs.where("a < b").select("a", "b").distinct(), sets, params)
+    close = _verified(pairs.where("a < b").groupBy("a", "b").agg(F.min("band").alias("band")), sets, params)
     far = cut(_in_blocks(buckets.where(F.col("m") > params.small), sets, params), "join-blocks")
     close = cut(close, "join-links")
 
@@ -216,28 +216,34 @@ def _sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     found = docs.select("id", "t", slot.alias("s")).mapInArrow(made, f"mark binary, grams binary, id {kind}")
-    joined = found.join(wanted.select("mark", "id", "copies", "bands"), ["mark", "id"])
+    own = wanted.select("mark", F.col("id").alias("least"), "copies", "bands")
+    joined = found.join(own, "mark").where(F.col("id").eqNullSafe(F.col("least")))
     # A key with one text on several rows gives its set several times.
     turn = Window.partitionBy("mark").orderBy("id")
     return cut(joined.withColumn("turn", F.row_number().over(turn)).where("turn = 1").select("mark", "copies", "bands", "grams"), "join-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
-    """(a, b, copies_a, copies_b): the pairs whose full sets are similar."""
-    a = sets.select(F.col("mark").alias("a"), F.col("copies").alias("copies_a"), F.col("grams").alias("grams_a"))
-    b = sets.select(F.col("mark").alias("b"), F.col("copies").alias("copies_b"), F.col("grams").alias("grams_b"))
+    """(a, b, copies_a, copies_b): the pairs whose full sets are similar, of those that no
+    band before ``band`` brings together: that would be in a large bucket, and counts there."""
+    columns = ("copies", "bands", "grams")
+    a = sets.select(F.col("mark").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = sets.select(F.col("mark").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+
+    def first(x: bytes, y: bytes) -> int:
+        return int((np.frombuffer(x, np.int64) == np.frombuffer(y, np.int64)).argmax())
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             keep = [
                 jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= params.threshold - 1e-12
-                if min(len(x), len(y)) >= params.threshold * max(len(x), len(y))
+                if min(len(x), len(y)) >= params.threshold * max(len(x), len(y)) and first(p, q) == band
                 else False
-                for x, y in zip(batch["grams_a"].to_pylist(), batch["grams_b"].to_pylist())
+                for x, y, p, q, band in zip(*(batch[c].to_pylist() for c in ("grams_a", "grams_b", "bands_a", "bands_b", "band")))
             ]
             yield batch.select(["a", "b", "copies_a", "copies_b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "copies_a", "copies_b", "grams_a", "grams_b")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "band", *[f"{c}_{x}" for x in "ab" for c in columns])
     return both.mapInArrow(checked, "a binary, b binary, copies_a bigint, copies_b bigint")
 
 
