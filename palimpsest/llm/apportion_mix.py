@@ -19,7 +19,7 @@ from .common import WORD, cut
 #: The weights of the sources in turn, the share of all sizes that
 #: the mix takes, and how often a source may be taken.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-BLOCK, SEED = 8, 20
+BLOCK, SEED = 4, 20
 _M = 2147483647
 
 
@@ -43,7 +43,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         seeded.alias("h"),
     )
-    shards = max(1, int(np.ceil(np.sqrt(docs.count()) / 2)))
+    shards = max(1, int(np.ceil(np.sqrt(docs.count()) / 4)))
     base = base.withColumn("shard", ((F.col("h") * 69621 + 12345) % _M % shards).cast("int"))
     cells = cut(base.groupBy("source", "s", "shard").agg(F.sum("size").alias("z")), "mix-cells")
     sources = cut(targets(cells.groupBy("source", "s").agg(F.sum("z").alias("source_size"))), "mix-sources")

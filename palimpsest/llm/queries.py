@@ -83,7 +83,7 @@ WITH sized AS (
   SELECT doc_id AS id, source, coalesce('s' || source, 'n') AS s,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          ((((coalesce(doc_id, -1) % 2147483647) + 2147483647) % 2147483647) * 48271 + 20 * 7919) % 2147483647 AS h,
-         greatest(1, ceil(sqrt(count(*) OVER ()) / 2))::BIGINT AS shards
+         greatest(1, ceil(sqrt(count(*) OVER ()) / 4))::BIGINT AS shards
   FROM documents
 ), docs AS (SELECT *, (h * 69621 + 12345) % 2147483647 % shards AS shard FROM sized),
 cells AS (SELECT s, any_value(source) AS source, shard, sum(size)::BIGINT AS z FROM docs GROUP BY s, shard),
@@ -104,7 +104,7 @@ ranked AS (
 targets AS (
   SELECT s, rank, source_size, CASE WHEN place < edge THEN source_size * 2.0::DOUBLE ELSE common * weight END AS target
   FROM levels, found
-), totals AS (SELECT sum(target) AS total, floor(sum(target) / 8)::BIGINT AS blocks, count(*) AS n FROM targets),
+), totals AS (SELECT sum(target) AS total, floor(sum(target) / 4)::BIGINT AS blocks, count(*) AS n FROM targets),
 offers AS (
   SELECT s, rank, k, target / (2 * k - 1) AS quotient
   FROM targets, totals, unnest(generate_series(
@@ -122,7 +122,7 @@ offers AS (
 quotas AS (
   SELECT s, shard, z, source_size, target,
          least((floor(seats * (upto::DOUBLE / greatest(source_size, 1)))
-              - floor(seats * ((upto - z)::DOUBLE / greatest(source_size, 1))))::BIGINT * 8, z * 2) AS quota
+              - floor(seats * ((upto - z)::DOUBLE / greatest(source_size, 1))))::BIGINT * 4, z * 2) AS quota
   FROM reached JOIN seats USING (s) JOIN targets USING (s)
 ), placed AS (
   SELECT id, d.size, source_size, target, quota, z,
