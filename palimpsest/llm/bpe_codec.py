@@ -22,6 +22,8 @@ from .merges import SMALL, SPACE, MergeTable, byte_letters, merge, merge_short,
 
 _CHUNK = re.compile(f"[^{SPACE}]+")
 END = "</w>"
+#: No byte of UTF-8.
+LAST = b"\xff"
 #: The words of a vocabulary with word ends.
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
@@ -33,10 +35,16 @@ class Encoded(NamedTuple):
     tokens: str
 
 
+def _joined(parts: list[Encoded]) -> Encoded:
+    if len(parts) == 1:
+        return parts[0]
+    return Encoded(b"".join([p.ids for p in parts]), " ".join([p.tokens for p in parts]))
+
+
 class WordCodec:
     """Encodes and decodes as the tokenizer library does for a lower-casing BPE with word ends."""
 
-    def __init__(self, table: MergeTable, memo: int = 400_000) -> None:
+    def __init__(self, table: MergeTable, memo: int = 250_000) -> None:
         self.ranks, self.specials = table.ranks, table.specials
         self.token = {i: t for t, i in table.vocab.items()} | {i: t for t, i in table.specials.items()}
         letters = byte_letters()
@@ -65,23 +73,23 @@ class WordCodec:
                 start = i
         return [*out, word[start:]]
 
-    def _fragment(self, key: tuple[bytes, bool]) -> list[int]:
-        fragment, last = key
+    def _fragment(self, key: bytes) -> Encoded:
+        """``key``: a fragment's bytes, and LAST after them if it ends its word."""
+        last = key.endswith(LAST)
+        fragment = key[:-1] if last else key
         symbols = [self.inner[b] for b in fragment]
         if last:
             symbols[-1] = self.last[fragment[-1]]
         if len(symbols) < 64:
-            return merge_short(symbols, self.ranks)
-        return [s for s in merge(symbols, self.ranks)[0] if s >= 0]
+            ids = merge_short(symbols, self.ranks)
+        else:
+            ids = [s for s in merge(symbols, self.ranks)[0] if s >= 0]
+        return Encoded(struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
 
     def _word(self, word: str) -> Encoded:
-        ids: list[int] = []
         parts = self.cuts(word.encode())
-        last = len(parts) - 1
-        for k, part in enumerate(parts):
-            key = part, k == last
-            ids += self.fragments[key] if len(part) < 64 else self._fragment(key)
-        return Encoded(struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
+        parts[-1] += LAST
+        return _joined([self.fragments[p] if len(p) < 64 else self._fragment(p) for p in parts])
 
     def _chunk(self, chunk: str) -> Encoded:
         if chunk.isascii():
@@ -95,8 +103,7 @@ class WordCodec:
             words = _WORDS.findall(lowered)
         else:
             words = [lowered[m.start() : m.end()] for m in _WORDS.finditer(shadow(lowered))]
-        got = [self.words[w] if len(w) < 64 else self._word(w) for w in words]
-        return got[0] if len(got) == 1 else Encoded(b"".join([e.ids for e in got]), " ".join([e.tokens for e in got]))
+        return _joined([self.words[w] if len(w) < 64 else self._word(w) for w in words])
 
     def _plain(self, text: str) -> list[Encoded]:
         chunks = self.chunks
