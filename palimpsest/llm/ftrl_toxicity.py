@@ -26,7 +26,7 @@ class Params:
     """``sample`` bounds the labelled rows that are learnt from."""
 
     bits: int = 20
-    sample: int = 10_000
+    sample: int = 14_000
     epochs: int = 6
     alpha: float = 2.0
     beta: float = 1.0

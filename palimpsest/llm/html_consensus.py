@@ -43,10 +43,12 @@ BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar "
     "navigation menu menus breadcrumb breadcrumbs header masthead footer sidebar side aside widget widgets comment comments "
     "disqus reply replies respond discussion cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "newsletter subscribe subscription signup login share sharing social related recommended recommendations "
+    "announcement disclaimer newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "pagination pager toolbar search skip tags".split()
 )
-#: Words that outweigh the above when they come first: containers of the article.
+#: Words before one of these that speak of a page's layout.
+LAYOUT_WORDS = frozenset("has with no without is".split())
+#: Words that mark containers of the article; a header of theirs holds its title.
 CONTENT_WORDS = frozenset("article content main post entry story body text".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form h1 "
@@ -93,7 +95,9 @@ def _is_boiler(tag: str, attrs: dict[str, str], within: Node | None) -> bool:
         return True
     for name in (*attrs.get("class", "").split(), attrs.get("id", "")):
         words = _words(name)
-        if words and words[-1] in BOILER_WORDS or words and words[0] in BOILER_WORDS and words[-1] not in CONTENT_WORDS:
+        if not words or words[0] in LAYOUT_WORDS or words[-1] == "header" and CONTENT_WORDS & {*words}:
+            continue
+        if words[0] in BOILER_WORDS or words[-1] in BOILER_WORDS:
             return True
     return False
 

@@ -28,6 +28,8 @@ def test_rules():
         ("<article><header><h1>T</h1></header><p>b</article>", "T\nb"), ("<body><p>&lt;p&gt; &#233;", "<p> é"),
         ("<article>a<script>x</script><noscript>y</noscript>b<br>c</article>", "ab c"), ("<main>q<div class='comment'>r</div>s</main>", "q\ns"),
         ("<article>1 < 2 and <b>3</article>", "1 < 2 and 3"), ("<div role=navigation>n</div><div>t</div>", "t"), ("<a href=\"x", "<a href=\"x"),
+        ("<div class='content with-sidebar'><div class='post-header'><h1>T</h1></div><p>b<div class='comment-body'>c</div></div>", "T\nb"),
+        ("<div class='main-nav'>n</div><div id='sidebarLeft'>s</div><div class='entry'>e</div><div id=cookieBanner>c</div>", "e"),
     ],
 )
 def test_small_pages(page, text):
