@@ -35,17 +35,21 @@ class Encoded(NamedTuple):
     tokens: str
 
 
-def _joined(parts: list[Encoded]) -> Encoded:
+#: What the memos hold: as Encoded, but a tuple that the garbage collector lets alone.
+Part = tuple[bytes, str]
+
+
+def _joined(parts: list[Part]) -> Part:
     if len(parts) == 1:
         return parts[0]
-    return Encoded(b"".join([p.ids for p in parts]), " ".join([p.tokens for p in parts]))
+    return b"".join([ids for ids, _ in parts]), " ".join([tokens for _, tokens in parts])
 
 
 class WordCodec:
     """Encodes and decodes as the tokenizer library does for a lower-casing BPE with word ends."""
 
-    def __init__(self, table: MergeTable, memo: int = 250_000) -> None:
-        self.ranks, self.specials = table.ranks, table.specials
+    def __init__(self, table: MergeTable, memo: int = 400_000) -> None:
+        self.ranks, self.pairs, self.specials = table.ranks, table.pairs, table.specials
         self.token = {i: t for t, i in table.vocab.items()} | {i: t for t, i in table.specials.items()}
         letters = byte_letters()
         byte = {x: b for b, x in enumerate(letters)}
@@ -73,7 +77,7 @@ class WordCodec:
                 start = i
         return [*out, word[start:]]
 
-    def _fragment(self, key: bytes) -> Encoded:
+    def _fragment(self, key: bytes) -> Part:
         """``key``: a fragment's bytes, and LAST after them if it ends its word."""
         last = key.endswith(LAST)
         fragment = key[:-1] if last else key
@@ -81,17 +85,17 @@ class WordCodec:
         if last:
             symbols[-1] = self.last[fragment[-1]]
         if len(symbols) < 64:
-            ids = merge_short(symbols, self.ranks)
+            ids = merge_short(symbols, self.pairs)
         else:
             ids = [s for s in merge(symbols, self.ranks)[0] if s >= 0]
-        return Encoded(struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids])
 
-    def _word(self, word: str) -> Encoded:
+    def _word(self, word: str) -> Part:
         parts = self.cuts(word.encode())
         parts[-1] += LAST
         return _joined([self.fragments[p] if len(p) < 64 else self._fragment(p) for p in parts])
 
-    def _chunk(self, chunk: str) -> Encoded:
+    def _chunk(self, chunk: str) -> Part:
         if chunk.isascii():
             lowered = chunk.lower()
         else:
@@ -105,7 +109,7 @@ class WordCodec:
             words = [lowered[m.start() : m.end()] for m in _WORDS.finditer(shadow(lowered))]
         return _joined([self.words[w] if len(w) < 64 else self._word(w) for w in words])
 
-    def _plain(self, text: str) -> list[Encoded]:
+    def _plain(self, text: str) -> list[Part]:
         chunks = self.chunks
         return [chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text)]
 
@@ -119,10 +123,13 @@ class WordCodec:
             got = []
             for part in self.split.split(text):
                 if part in self.specials:
-                    got.append(Encoded(struct.pack("<I", self.specials[part]), part))
+                    got.append((struct.pack("<I", self.specials[part]), part))
                 else:
                     got += self._plain(part)
-        return Encoded(b"".join([e.ids for e in got]), " ".join([e.tokens for e in got if e.ids]))
+        if not got:
+            return Encoded(b"", "")
+        ids, tokens = zip(*got)
+        return Encoded(b"".join(ids), " ".join(filter(None, tokens)))
 
     def decode(self, ids: bytes) -> str:
         """Tokens of ``ids`` joined by spaces: the file names no decoder of its own."""

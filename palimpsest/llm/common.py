@@ -97,14 +97,19 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and starts afresh when full."""
+    """A dictionary that computes what it lacks.  It holds ``most`` entries in two halves: when
+    the young half is full it becomes the old one, whose entries come back as they are used."""
 
     def __init__(self, compute: Callable, most: int) -> None:
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.half, self.old = compute, most // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.old = self.copy()
             self.clear()
-        value = self[key] = self.compute(key)
+        self[key] = value
         return value

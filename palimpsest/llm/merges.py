@@ -6,6 +6,7 @@ import json
 import unicodedata
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import repeat
 
 #: Unicode White_Space, as the tokenizer library's patterns take it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -31,6 +32,10 @@ def shadow(text: str) -> str:
     return "".join(["\ue000" if unicodedata.category(c) == "Cn" and not any(a <= ord(c) <= b for a, b in UNICODE_16) else c for c in text])
 
 
+#: Above all ranks.
+NONE = 1 << 62
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: printable
     Latin-1 stands for itself, the others follow from U+0100 on."""
@@ -50,6 +55,11 @@ class MergeTable:
     ranks: dict[int, int]
     specials: dict[str, int]
 
+    @property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        """``ranks`` by pairs as they are."""
+        return {(k >> 32, k & 0xFFFFFFFF): v for k, v in self.ranks.items()}
+
     @classmethod
     def from_file(cls, path: str) -> MergeTable:
         with open(path, encoding="utf-8") as f:
@@ -107,20 +117,20 @@ def merge(symbols: list[int], ranks: dict[int, int]) -> tuple[list[int], int]:
     return symbols, merges
 
 
-def merge_short(symbols: list[int], ranks: dict[int, int]) -> list[int]:
-    """The same merges by scanning a list of the pairs' ranks: less work for short inputs."""
-    none = 1 << 62
-    get = ranks.get
-    pairs = [get(a << 32 | b, none) for a, b in zip(symbols, symbols[1:])]
-    while pairs:
-        least = min(pairs)
-        if least == none:
+def merge_short(symbols: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
+    """The same merges by scanning a list of the pairs' ranks: less work for short inputs.
+    ``pairs`` has the ranks by pairs as they are."""
+    get = pairs.get
+    found = [*map(get, zip(symbols, symbols[1:]), repeat(NONE))]
+    while found:
+        least = min(found)
+        if least == NONE:
             break
-        i = pairs.index(least)
+        i = found.index(least)
         symbols[i : i + 2] = [least & 0xFFFFFFFF]
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = get(symbols[i] << 32 | symbols[i + 1], none)
+        del found[i]
+        if i < len(found):
+            found[i] = get((symbols[i], symbols[i + 1]), NONE)
         if i:
-            pairs[i - 1] = get(symbols[i - 1] << 32 | symbols[i], none)
+            found[i - 1] = get((symbols[i - 1], symbols[i]), NONE)
     return symbols
