@@ -34,17 +34,30 @@ def lifecycle(histories: DataFrame, revisions: DataFrame, instances: DataFrame)
 
     currently_visible: last seen in the page's last revision by id; removed_at: the next
     revision by id, where the citation does not stand in it."""
-    seen = histories.distinct()
-    last = revisions.groupBy("page_id").agg(F.max("revision_id").alias("last_id"))
-    there = seen.select(F.col("page_id").alias("p"), F.col("raw_sha1").alias("r"), F.col("revision_id").alias("n"))
-    rows = (
-        seen.join(next_revision(revisions), ["page_id", "revision_id"])
-        .join(stats(seen, revisions), ["page_id", "raw_sha1"])
-        .join(last, "page_id")
-        .join(instances, ["page_id", "raw_sha1"])
+    page, own = Window.partitionBy("page_id"), Window.partitionBy("page_id", "raw_sha1")
+    by_id = page.orderBy("revision_id")
+    steps = revisions.select(
+        "page_id",
+        "revision_id",
+        "revision_timestamp",
+        F.lead("revision_id").over(by_id).alias("next_id"),
+        F.lead("revision_timestamp").over(by_id).alias("next_ts"),
+        F.max("revision_id").over(page).alias("last_id"),
     )
-    rows = rows.join(there, (F.col("page_id") == F.col("p")) & (F.col("raw_sha1") == F.col("r")) & (F.col("next_id") == F.col("n")), "left")
-    gone = F.col("next_id").isNotNull() & F.col("n").isNull()
+    # One shuffle by page and citation serves the extremes, and the step to the next row
+    # tells whether the citation stands in the page's next revision.
+    rows = histories.distinct().join(steps, ["page_id", "revision_id"])
+    again = F.lead("revision_id").over(own.orderBy("revision_id"))
+    gone = F.col("next_id").isNotNull() & ~F.col("again").eqNullSafe(F.col("next_id"))
+    rows = rows.select(
+        "*",
+        again.alias("again"),
+        F.min("revision_id").over(own).alias("first_seen_id"),
+        F.min("revision_timestamp").over(own).alias("first_seen_ts"),
+        F.max("revision_id").over(own).alias("last_seen_id"),
+        F.max("revision_timestamp").over(own).alias("last_seen_ts"),
+        F.count("*").over(own).alias("appearance_count"),
+    ).join(instances, ["page_id", "raw_sha1"])
     return rows.select(
         "page_id",
         "revision_id",

@@ -204,6 +204,12 @@ def next_revision(spark: SparkSession, d: str) -> DataFrame:
     return L.next_revision(adapter.tables(spark, d).revisions)
 
 
+@registered("citation_stats", "SELECT * FROM x_stats")
+def citation_stats(spark: SparkSession, d: str) -> DataFrame:
+    t = adapter.tables(spark, d)
+    return L.stats(t.histories.distinct(), t.revisions)
+
+
 @registered("presence_intervals", """
 , y_place AS (SELECT page_id, revision_id, row_number() OVER (PARTITION BY page_id ORDER BY revision_id) AS place FROM x_rev),
 y_island AS (
