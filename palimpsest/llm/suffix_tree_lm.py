@@ -10,9 +10,12 @@ Word counts of the whole corpus stay in Spark, and rare words find theirs by a j
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,9 +71,53 @@ class Symbols:
         found = self.common.get(word_key(word))
         return self.params.words + word_class(word, self.params.classes) if found is None else found
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Symbols of the words and of the end."""
-        return np.fromiter(map(self.of_word.__getitem__, [*words, END]), np.int32, len(words) + 1)
+    def of(self, lists: list[list[bytes]], n: int) -> np.ndarray:
+        """Symbols of ``n`` words in all."""
+        return np.fromiter(map(self.of_word.__getitem__, chain.from_iterable(lists)), np.int32, n)
+
+
+class Words:
+    """Numbers for words, with the key, the log10 probability if it is held here, and the symbol
+    of each number.  Full, it starts afresh between two slices of texts."""
+
+    def __init__(self, symbols: Symbols, held: dict[int, int], whole: float, most: int = 300_000) -> None:
+        self.symbols, self.held, self.whole, self.most = symbols, held, whole, most
+        self.fresh()
+
+    def fresh(self) -> None:
+        self.numbers = Memo(self._number, 1 << 62)
+        self.keys, self.logs, self.kinds = array("q"), array("d"), array("i")
+
+    def _number(self, word: bytes) -> int:
+        key = word_key(word)
+        n = self.held.get(key)
+        self.keys.append(key)
+        self.logs.append(np.nan if n is None else math.log10((n + 0.1) / self.whole))
+        self.kinds.append(self.symbols._find(word))
+        return len(self.keys) - 1
+
+    def of(self, lists: list[list[bytes]], n: int) -> np.ndarray:
+        if len(self.keys) > self.most:
+            self.fresh()
+        return np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, n)
+
+
+def word_lists(texts: list) -> tuple[list[list[bytes]], np.ndarray]:
+    """Each text's words and its end, and where each text starts and the last one ends."""
+    lists = [tokens(t) for t in texts]
+    for words in lists:
+        words.append(END)
+    return lists, np.concatenate([[0], np.cumsum([len(w) for w in lists], dtype=np.int64)])
+
+
+def contexts(symbols: np.ndarray, starts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols one and two places before each, ``start`` before a text."""
+    last, before = np.roll(symbols, 1), np.roll(symbols, 2)
+    last[starts[:-1]] = start
+    before[starts[:-1]] = start
+    second = starts[:-1] + 1
+    before[second[second < starts[1:]]] = start
+    return last, before
 
 
 @dataclass
@@ -81,11 +128,10 @@ class Tree:
     state_of: np.ndarray
     gain: np.ndarray
 
-    def adjust(self, symbols: np.ndarray) -> float:
-        start = self.state_of.shape[0] - 1
-        last = np.concatenate([[start], symbols[:-1]])
-        before = np.concatenate([[start, start], symbols[:-2]])[: len(symbols)]
-        return float(self.gain[self.state_of[before, last], symbols].sum(dtype=np.float64))
+    def adjust(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """What each text gains over the base."""
+        last, before = contexts(symbols, starts, self.state_of.shape[0] - 1)
+        return np.add.reduceat(self.gain[self.state_of[before, last], symbols].astype(np.float64), starts[:-1])
 
 
 def word_counts(docs: DataFrame, params: Params) -> DataFrame:
@@ -114,20 +160,16 @@ def word_counts(docs: DataFrame, params: Params) -> DataFrame:
     return docs.select("t").mapInArrow(counted, "key bigint, class smallint, n bigint").groupBy("key", "class").agg(F.sum("n").alias("n"))
 
 
-def _dense_counts(docs: DataFrame, codes, size: int) -> np.ndarray:
-    """Counts of the codes 0 to ``size`` - 1, fixed in number, that ``codes(state, words)`` gives for each text."""
+def _dense_counts(docs: DataFrame, common: dict[int, int], params: Params, codes: Callable, size: int) -> np.ndarray:
+    """Counts of the codes 0 to ``size`` - 1, fixed in number, that ``codes`` gives for the
+    symbols of texts and the symbols before them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, total = codes(None, None), np.zeros(size, np.int64)
+        state, total = Symbols(common, params), np.zeros(size, np.int64)
         for batch in slices(batches):
-            waiting: list[np.ndarray] = []
-            for t in batch["t"].to_pylist():
-                waiting.append(codes(state, tokens(t)))
-                if len(waiting) == 512:
-                    total += np.bincount(np.concatenate(waiting), minlength=size)
-                    waiting.clear()
-            if waiting:
-                total += np.bincount(np.concatenate(waiting), minlength=size)
+            lists, starts = word_lists(batch["t"].to_pylist())
+            s = state.of(lists, starts[-1])
+            total += np.bincount(codes(s, *contexts(s, starts, params.symbols)), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
@@ -152,13 +194,10 @@ def grow(docs: DataFrame, common: dict[int, int], base: np.ndarray, params: Para
     a = params.symbols
     root = base / base.sum()
 
-    def pairs(state, words):
-        if words is None:
-            return Symbols(common, params)
-        s = state.of(words)
-        return np.concatenate([[a], s[:-1]]) * a + s
+    def pairs(s: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        return last.astype(np.int64) * a + s
 
-    counts = _dense_counts(docs, pairs, (a + 1) * a).reshape(a + 1, a)
+    counts = _dense_counts(docs, common, params, pairs, (a + 1) * a).reshape(a + 1, a)
     first, kept = _keeps(counts, root[None, :], params)
     heavy = np.where(kept[None, :a], counts, 0)  # contexts of two: their later symbol is a state
     order = np.argsort(-heavy, axis=None, kind="stable")[: params.states]
@@ -166,13 +205,8 @@ def grow(docs: DataFrame, common: dict[int, int], base: np.ndarray, params: Para
     number = np.full((a + 1) * (a + 1), -1, np.int32)
     number[chosen // a * (a + 1) + chosen % a] = np.arange(len(chosen))
 
-    def triples(state, words):
-        if words is None:
-            return Symbols(common, params)
-        s = state.of(words)
-        last = np.concatenate([[a], s[:-1]])
-        before = np.concatenate([[a, a], s[:-2]])[: len(s)]
-        at = number[before * (a + 1) + last]
+    def triples(s: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        at = number[before.astype(np.int64) * (a + 1) + last]
         return (at.astype(np.int64) * a + s)[at >= 0]
 
     state_of = np.zeros((a + 1, a + 1), np.int32)
@@ -181,7 +215,7 @@ def grow(docs: DataFrame, common: dict[int, int], base: np.ndarray, params: Para
     state_of[:, singles] = np.arange(1, len(singles) + 1)
     gains.append(np.log10(first[singles] / base))
     if len(chosen):
-        deep = _dense_counts(docs, triples, len(chosen) * a).reshape(-1, a)
+        deep = _dense_counts(docs, common, params, triples, len(chosen) * a).reshape(-1, a)
         second, kept2 = _keeps(deep, first[chosen % a], params)
         doubles = np.flatnonzero(kept2)
         state_of[chosen[doubles] // a, chosen[doubles] % a] = np.arange(len(doubles)) + 1 + len(singles)
@@ -227,32 +261,23 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, held, tree = shared.value
-        symbols = Symbols(common, params)
-
-        def logged(word: bytes) -> tuple[int, float]:
-            key = word_key(word)
-            n = held.get(key)
-            return (key, 0.0) if n is None else (None, float(np.log10((n + 0.1) / whole)))
-
-        logs = Memo(logged, 300_000)
+        words = Words(Symbols(common, params), held, whole)
         for batch in slices(batches):
-            out: list[list] = [[] for _ in range(6)]
-            for t in batch["t"].to_pylist():
-                words = tokens(t)
-                rare: Counter = Counter()
-                known = base = 0
-                for w, n in Counter([*words, END]).items():
-                    key, value = logs[w]
-                    if key is None:
-                        known += n
-                        base += n * value
-                    else:
-                        rare[key] += n
-                row = (len(words) + 1, known, base, tree.adjust(symbols.of(words)), list(rare), list(rare.values()))
-                for column, value in zip(out, row):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["k"], batch["f"], *(pa.array(c, x) for c, x in zip(out, kinds))], names=["k", "f", "n_tokens", "known", "base", "gain", "keys", "times"])
+            n = batch.num_rows
+            lists, starts = word_lists(batch["t"].to_pylist())
+            at = words.of(lists, starts[-1])
+            logs = np.array(words.logs)[at]
+            rare = np.isnan(logs)
+            row = np.repeat(np.arange(n), np.diff(starts))
+            sums = [np.add.reduceat(x, starts[:-1]) for x in (~rare, np.where(rare, 0.0, logs))]
+            gains = tree.adjust(np.array(words.kinds)[at], starts)
+            # Rare words by text, each with how often it stands there.
+            codes, times = np.unique(row[rare] << 40 | at[rare], return_counts=True)
+            cuts = np.searchsorted(codes, np.arange(n + 1) << 40).astype(np.int32)
+            keys = np.array(words.keys)[codes & ((1 << 40) - 1)]
+            columns = [batch["k"], batch["f"], pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(gains)]
+            columns += [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int64))) for x in (keys, times)]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "f", "n_tokens", "known", "base", "gain", "keys", "times"])
 
     ddl = f"k {kind}, f int, n_tokens bigint, known bigint, base double, gain double, keys array<bigint>, times array<bigint>"
     texts = cut(rows.select("k", "t", "f").mapInArrow(scored, ddl).withColumn("u", F.monotonically_increasing_id()), "lm-texts")

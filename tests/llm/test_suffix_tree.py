@@ -79,6 +79,19 @@ def test_states_are_distributions(spark):
 def test_longest_suffix_is_taken():
     tree = S.Tree(np.array([[0, 1, 0], [2, 1, 0], [0, 1, 0]]), np.array([[0.0, 0.0], [1.0, 2.0], [4.0, 8.0]], np.float32))
     # start; 1 after the start; 0 after 1: the state of both.
-    assert tree.adjust(np.array([1])) == 0.0
-    assert tree.adjust(np.array([1, 0])) == 1.0
-    assert tree.adjust(np.array([1, 0, 1])) == 1.0 + 8.0
+    gains = tree.adjust(np.array([1, 1, 0, 1, 0, 1]), np.array([0, 1, 3, 6]))
+    assert gains.tolist() == [0.0, 1.0, 1.0 + 8.0]
+
+
+def test_contexts_stay_within_their_text():
+    last, before = S.contexts(np.array([5, 6, 7, 8, 9]), np.array([0, 1, 4, 5]), 99)
+    assert last.tolist() == [99, 99, 6, 7, 99] and before.tolist() == [99, 99, 99, 6, 99]
+
+
+def test_numbers_of_words_start_afresh():
+    p = S.Params(words=2, classes=2)
+    words = S.Words(S.Symbols({}, p), {S.word_key(b"a"): 3}, 10.0, most=2)
+    for lists in ([[b"a", b"b"]], [[b"c", b"a"]], [[b"a", b"d"]]):
+        at = words.of(lists, 2)
+        assert [words.keys[i] for i in at] == [S.word_key(w) for w in lists[0]]
+        assert [bool(np.isnan(words.logs[i])) for i in at] == [w != b"a" for w in lists[0]]
