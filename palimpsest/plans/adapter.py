@@ -3,6 +3,8 @@ orders their revisions, line items the citations that stand in them, parts what
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -89,18 +91,19 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The logical tables of a folder of the star schema."""
-    cited = raw_instances(spark, sf_dir)
-    texts = cited.groupBy("normalized_sha1", "reference_normalized").agg(F.min("page_id").alias("appears_on_page_id"))
-    data = raw_template_data(spark, sf_dir)
+    instances = ["page_id", "raw_sha1", "normalized_sha1", "reference_type", "reference_name"]
+    parameter = ("domain_label", "template_name", "normalized_sha1", "offset_start", "parameter_key")
+    cited = cache(lambda: raw_instances(spark, sf_dir))
+    data = cache(lambda: raw_template_data(spark, sf_dir))
     return Tables(
-        revisions=raw_revisions(spark, sf_dir),
-        histories=cited.select("page_id", "raw_sha1", "revision_id"),
-        instances=cited.select("page_id", "raw_sha1", "normalized_sha1", "reference_type", "reference_name").distinct(),
-        normalized=texts,
-        documents=raw_documents(spark, sf_dir),
-        web_resources=representative(raw_web_resources(spark, sf_dir), ("url",), ("url",), whole=False),
-        ncwr=raw_ncwr(spark, sf_dir).distinct(),
-        wiki_templates=data.select("domain_label", F.col("template_name").alias("name")).distinct(),
-        template_data=representative(data, ("domain_label", "template_name", "normalized_sha1", "offset_start", "parameter_key")),
-        titles=titles(spark, sf_dir),
+        revisions=lambda: raw_revisions(spark, sf_dir),
+        histories=lambda: cited().select("page_id", "raw_sha1", "revision_id"),
+        instances=lambda: cited().select(*instances).distinct(),
+        normalized=lambda: cited().groupBy("normalized_sha1", "reference_normalized").agg(F.min("page_id").alias("appears_on_page_id")),
+        documents=lambda: raw_documents(spark, sf_dir),
+        web_resources=lambda: representative(raw_web_resources(spark, sf_dir), ("url",), ("url",), whole=False),
+        ncwr=lambda: raw_ncwr(spark, sf_dir).distinct(),
+        wiki_templates=lambda: data().select("domain_label", F.col("template_name").alias("name")).distinct(),
+        template_data=lambda: representative(data(), parameter),
+        titles=lambda: titles(spark, sf_dir),
     )

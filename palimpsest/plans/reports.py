@@ -5,7 +5,7 @@ What is not found gives no rows; bad arguments raise ValueError.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +16,13 @@ from ..operators import lifecycle as L
 LIMIT, MOST = 100, 1000
 
 
-@dataclass
+NAMES = ("revisions", "histories", "instances", "normalized", "documents", "web_resources", "ncwr", "wiki_templates", "template_data", "titles")
+
+
 class Tables:
-    """Logical tables by natural key.  titles: (domain, title, page_id), for addresses by title."""
+    """Logical tables by natural key, as attributes: DataFrames, or functions that make one
+    when it is first asked for, so that a report opens the tables it reads and no others.
+    titles: (domain, title, page_id), for addresses by title."""
 
     revisions: DataFrame
     histories: DataFrame
@@ -31,6 +35,23 @@ class Tables:
     template_data: DataFrame
     titles: DataFrame
 
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]) -> None:
+        if set(tables) != set(NAMES):
+            raise ValueError(f"needed: {', '.join(NAMES)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in NAMES:
+            raise AttributeError(name)
+        found = self._tables[name]
+        if callable(found):
+            found = self._tables[name] = found()
+        return found
+
+    def replaced(self, **tables: DataFrame | Callable[[], DataFrame]) -> Tables:
+        """The same with some tables in place of others."""
+        return Tables(**self._tables | tables)
+
 
 def paged(df: DataFrame, limit: int | None = LIMIT, offset: int | None = 0) -> DataFrame:
     """A page of an ordered result: at most MOST rows."""
@@ -73,8 +94,8 @@ def article_revisions_total(t: Tables, page_id: int) -> DataFrame:
 
 def of_page(t: Tables, page_id: int) -> Tables:
     """The tables with what concerns one page: the filter goes before everything else."""
-    one = lambda df: df.where(F.col("page_id") == page_id)
-    return Tables(**vars(t) | {"revisions": one(t.revisions), "histories": one(t.histories), "instances": one(t.instances)})
+    own = F.col("page_id") == page_id
+    return t.replaced(revisions=lambda: t.revisions.where(own), histories=lambda: t.histories.where(own), instances=lambda: t.instances.where(own))
 
 
 def lifecycle_all(t: Tables) -> DataFrame:
