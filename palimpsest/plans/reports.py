@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions.udfs import parsed
 from ..operators import lifecycle as L
+from ..operators.derive import DEFAULT_DOMAIN
 
 LIMIT, MOST = 100, 1000
 
@@ -243,3 +245,18 @@ def other_articles(t: Tables, sha1: str, exclude_page: int | None = None) -> Dat
     pages = t.histories.join(forms.select("page_id", "raw_sha1"), ["page_id", "raw_sha1"], "left_semi").select("page_id").distinct()
     titles = t.titles.groupBy("page_id").agg(F.min("title").alias("title"))
     return pages.join(titles, "page_id", "left").join(_article_urls(t), "page_id", "left").select("page_id", "title", "url")
+
+
+def page_references(revisions: DataFrame, titles: DataFrame, title: str, as_of: str | None = None, domain: str = DEFAULT_DOMAIN) -> DataFrame:
+    """One row of a page as it stood at a time, now by default: title, as_of, page_id, revision_id,
+    revision_timestamp, references (array of structs), and plain, the raw references with a
+    blank line between.  ``revisions`` are those of bundles, with their text."""
+    if not title:
+        raise ValueError("a title is needed")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if as_of is None else C.clean_timestamp(F.lit(as_of))
+    page = titles.where((F.col("domain") == domain) & (F.col("title") == title)).select("page_id").distinct()
+    own = revisions.join(page, "page_id", "left_semi").where(F.col("revision_timestamp") <= now)
+    last = own.groupBy("page_id").agg(F.max(F.struct("revision_timestamp", "revision_id", "revision_text")).alias("r"))
+    return last.select(
+        F.lit(title).alias("title"), now.alias("as_of"), "page_id", "r.revision_id", "r.revision_timestamp", parsed(F.col("r.revision_text"), F.lit(domain)).alias("references")
+    ).withColumn("plain", F.array_join(F.transform("references", lambda x: x["raw_reference"]), "\n\n"))

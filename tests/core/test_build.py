@@ -6,7 +6,7 @@ import pytest
 import zstandard
 
 from palimpsest.operators.dedup import parts_for
-from palimpsest.plans import build, maintenance
+from palimpsest.plans import build, maintenance, reports
 from palimpsest.schemas import SERVED, STAGED
 from palimpsest.sources import bundle, staging
 from palimpsest.streaming.ingest import ingest_bundles, ingest_rows
@@ -56,6 +56,21 @@ def test_both_readers_agree(spark, bundles):
     assert a == b == set(REVISIONS)
 
 
+def test_page_as_of(spark, bundles):
+    revisions = bundle.read_bundles(spark, str(bundles))
+    titles = spark.createDataFrame([("en.wikipedia.org", "One", 1), ("en.wikipedia.org", "Three", 3)], "domain string, title string, page_id int")
+    got = reports.page_references(revisions, titles, "One", "2020-01-02T00:00:00Z").collect()
+    assert [(r.page_id, r.revision_id, r.revision_timestamp, r.as_of) for r in got] == [(1, 10, "2020-01-01 00:00:00", "2020-01-02 00:00:00")]
+    assert got[0].plain == "<ref name=a>{{cite web|url=http://x.example/1|title= T }}</ref>"
+    now = reports.page_references(revisions, titles, "One").first()
+    assert now.revision_id == 11 and now.plain.split("\n\n")[1] == "http://user@Y.example:80/p"
+    assert reports.page_references(revisions, titles, "Three").first().plain == ""
+    assert reports.page_references(revisions, titles, "Nobody").count() == 0
+    assert reports.page_references(revisions, titles, "One", "2019-01-01").count() == 0
+    with pytest.raises(ValueError):
+        reports.page_references(revisions, titles, "")
+
+
 def test_staged_and_deduped(spark, built):
     root = built.source.replace("deduped", "staged")
     staged = build.staged_tables(spark, root)
