@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import Memo, cut, slices
 
+#: Parts that a group's members are dealt into where each is given its least key.
+SALTS = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -336,8 +338,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", param
     got = join(docs, key, text, params)
     roots = components(got.links)
     named = roots.join(got.classes.withColumnRenamed("mark", "node"), "node")
-    least = named.groupBy("root").agg(F.min("id").alias("class_id"))
-    grouped = named.join(least, "root").select(F.col("node").alias("mark"), "class_id")
+    # A group may hold a good part of all classes: its members meet its least key in salts.
+    least = named.groupBy("root").agg(F.min("id").alias("class_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    grouped = salted.join(least, ["root", "salt"]).select(F.col("node").alias("mark"), "class_id")
     about = (
         got.classes.join(grouped, "mark", "left")
         .join(got.counts, "mark", "left")
