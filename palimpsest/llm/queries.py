@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import apportion_mix, bpe_codec, ftrl_toxicity, hilbert_ann, html_consensus, ngram_join, quartile_digest, rff_quality, suffix_tree_lm, token_count
 
