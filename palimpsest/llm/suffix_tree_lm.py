@@ -1,11 +1,11 @@
-"""Language-model scoring with a probabilistic suffix tree.
-
-Symbols are the commonest training words, and for all other words classes by their
-first and last letters.  The tree's states are contexts of one or two symbols that
-divergence tests keep; a state's next-symbol distribution is smoothed by its
-parent's, the root's being the unigram base.  A text is scored by its longest
-suffix states; within a class, words share the class's probability as in the base.
-Word counts of the whole corpus stay in Spark, and rare words find theirs by a join.
+"""Language-model scoring with a probabilistic suffix tree over all words.
+
+The tree's states are contexts of words, of any number and length: every context
+above a count floor whose shorter suffix is a state is tested for divergence from
+it.  A state's next-word distribution is smoothed by its suffix's, the root's being
+the unigram base.  Contexts are counted, tested and kept as Spark rows; a text is
+scored by the longest suffix states, whose terms the tasks hold for the commonest
+and find by a join for all others.  Word counts likewise.
 """
 
 from __future__ import annotations
@@ -18,21 +18,29 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, cut, fold, slices
 
-#: Stands for the end of a text; no word holds a space.
-END = b" "
+#: Stand for the end and the start of a text; no word holds a space.
+END, START = b" ", b"  "
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the filters of contexts; their size is fixed, and what they let through in error
+#: goes at the exact joins after them.
+_FILTER_BITS = 26
+#: Parts that a context's followers are dealt into where they meet what is known of it.
+SALTS = 8
 
 
 @dataclass(frozen=True)
 class Params:
-    """All of these bound what is broadcast: ``words`` + ``classes`` symbols, ``states``
-    contexts of two symbols, ``counted`` words whose counts the tasks hold."""
+    """``counted`` words and ``terms`` of states are held by the tasks; all others are joined.
+    ``least``, ``divergence`` and ``prior`` make the states.  ``words`` + ``classes`` symbols
+    and ``states`` contexts of two bound the fixed tree of ``grow``, which ``score`` does not use."""
 
     words: int = 384
     classes: int = 128
@@ -41,6 +49,7 @@ class Params:
     least: int = 400
     divergence: float = 0.01
     prior: float = 100.0
+    terms: int = 2_000_000
 
     @property
     def symbols(self) -> int:
@@ -223,6 +232,182 @@ def grow(docs: DataFrame, common: dict[int, int], base: np.ndarray, params: Para
     return Tree(state_of, np.concatenate(gains).astype(np.float32))
 
 
+def longer(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of contexts with one more word before them."""
+    h = (context ^ word) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def followed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of contexts with the word after them."""
+    return longer(~context * np.uint64(0xD6E8FEB86659FD93), word)
+
+
+def _filter(contexts: DataFrame) -> np.ndarray:
+    slot = F.shiftrightunsigned("c", 64 - _FILTER_BITS)
+    words = contexts.select(slot.alias("s")).groupBy((F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (_FILTER_BITS - 6), np.int64)
+    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return bits.view(np.uint64)
+
+
+def _passes(bits: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    slot = contexts >> np.uint64(64 - _FILTER_BITS)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, place in its text, row) of all words of the encoded texts, starts and ends among them."""
+    texts = batch["w"].to_pylist()
+    lengths = np.array([len(t) // 8 for t in texts], np.int64)
+    words = np.frombuffer(b"".join(texts), np.uint64)
+    return words, np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths), np.repeat(np.arange(len(texts)), lengths)
+
+
+def _walk(words: np.ndarray, place: np.ndarray, kept: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, context of ``depth`` words, its suffix) where all suffixes pass the filter ``kept``."""
+    at = np.flatnonzero(place >= depth)
+    context = suffix = np.zeros(len(at), np.uint64)
+    for d in range(1, depth + 1):
+        if d > 1:
+            inside = _passes(kept, context)
+            at, context = at[inside], context[inside]
+        suffix, context = context, longer(context, words[at - d])
+    return at, context, suffix
+
+
+def _counted_pairs(texts: DataFrame, names: tuple[str, str], found: Callable) -> DataFrame:
+    """How often each pair occurs that ``found`` gives for the words and places of texts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def give() -> pa.RecordBatch:
+            a, b = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*held) if held else ((), ())))
+            _, first, n = np.unique(followed(a, b), return_index=True, return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n.astype(np.int64))], names=[*names, "n"])
+
+        for batch in slices(batches):
+            words, place, _ = _sequences(batch)
+            held.append(found(words, place))
+            if sum(len(a) for a, _ in held) > 1_000_000:
+                yield give()
+        yield give()
+
+    return texts.select("w").mapInArrow(counted, f"{names[0]} bigint, {names[1]} bigint, n bigint").groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def _salted(contexts: DataFrame) -> DataFrame:
+    return contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def levels(texts: DataFrame, base: DataFrame, params: Params) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """For contexts of one word, two and so on, until none is kept: (c, total) of the states, and
+    (c, x, n, total, lp, below) of their followers, lp and below being the logarithms of x's
+    probability there and at the suffix.  ``base``: (x, below) of every word of ``texts``."""
+    spark = texts.sparkSession
+    kept_bits = np.zeros(1 << (_FILTER_BITS - 6), np.uint64)
+    above, states, depth = base.withColumn("s", F.lit(0).cast("bigint")), None, 1
+    back = F.log(F.lit(params.prior) / (F.col("total") + params.prior))
+    while True:
+        kept = spark.sparkContext.broadcast(kept_bits)
+
+        def occurring(words: np.ndarray, place: np.ndarray, kept=kept, depth=depth) -> tuple[np.ndarray, np.ndarray]:
+            return _walk(words, place, kept.value, depth)[1:]
+
+        heavy = _counted_pairs(texts, ("c", "s"), occurring).where(F.col("n") >= params.least)
+        if states is not None:
+            heavy = heavy.join(states.select(F.col("c").alias("s")), "s", "left_semi")
+        heavy = cut(heavy.select("c", "s", F.col("n").alias("total")), "lm-contexts")
+        if heavy.isEmpty():
+            return
+        chosen = spark.sparkContext.broadcast(_filter(heavy))
+
+        def following(words: np.ndarray, place: np.ndarray, kept=kept, depth=depth, chosen=chosen) -> tuple[np.ndarray, np.ndarray]:
+            at, context, _ = _walk(words, place, kept.value, depth)
+            inside = _passes(chosen.value, context)
+            return context[inside], words[at[inside]]
+
+        followers = _counted_pairs(texts, ("c", "x"), following).withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int"))
+        p = (F.col("n") + params.prior * F.exp("below")) / (F.col("total") + params.prior)
+        seen = cut(followers.join(_salted(heavy), ["c", "salt"]).join(above, ["s", "x"]).select("c", "salt", "x", "n", "total", F.log(p).alias("lp"), "below"), "lm-followers")
+        # Followers not seen have the suffix's probability times exp(back).
+        tested = seen.groupBy("c").agg(
+            F.max("total").alias("total"), F.count("*").alias("seen"), F.sum(F.exp("lp") * (F.col("lp") - F.col("below"))).alias("gain"), F.sum(F.exp("below")).alias("covered")
+        )
+        divergence = F.col("gain") + F.exp(back) * (1 - F.col("covered")) * back
+        # The last: twice the gain in likelihood against as many free parameters.
+        tested = tested.withColumn("d", divergence).where((F.col("d") >= params.divergence) & (2 * F.col("total") * F.col("d") >= F.col("seen")))
+        states = cut(tested.select("c", "total"), "lm-states")
+        if states.isEmpty():
+            return
+        level = cut(seen.join(_salted(states.select("c")), ["c", "salt"], "left_semi").drop("salt"), "lm-level")
+        kept_bits = kept_bits | _filter(states)
+        above = level.select(F.col("c").alias("s"), "x", F.col("lp").alias("below"))
+        depth += 1
+        yield states, level
+
+
+def gains(texts: DataFrame, base: DataFrame, params: Params) -> DataFrame:
+    """(u, gain): parts of what each text gains over the base, to be added up.
+
+    A state of a text's contexts gives two terms at each word after it: that of words not
+    seen there, and what the word, if seen, has beyond it.  They are log10, and add up over
+    the suffixes of the longest state."""
+    spark = texts.sparkSession
+
+    @F.pandas_udf("bigint")
+    def term(c: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series(followed(c.to_numpy(np.int64).view(np.uint64), x.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+
+    back = F.log10(F.lit(params.prior) / (F.col("total") + params.prior))
+    terms, kept_bits, depth = None, np.zeros(1 << (_FILTER_BITS - 6), np.uint64), 0
+    for states, level in levels(texts.where("f > 0"), base, params):
+        kept_bits = kept_bits | _filter(states)
+        depth += 1
+        own = states.select(F.col("c").alias("z"), back.alias("g"), F.col("total").alias("n"))
+        own = own.union(level.select(term("c", "x"), (F.col("lp") - F.col("below")) / math.log(10) - back, "n"))
+        terms = own if terms is None else terms.union(own)
+    if terms is None:
+        return texts.select("u", F.lit(0.0).alias("gain"))
+    terms = cut(terms, "lm-terms")
+    # The commonest terms are held, as many as fit whole counts of occurrences.
+    by_count = F.sum("m").over(Window.orderBy(F.desc("n")))
+    least = terms.groupBy("n").agg(F.count("*").alias("m")).withColumn("upto", by_count).where(F.col("upto") <= params.terms).agg(F.min("n")).first()[0]
+    common = terms.where(F.col("n") >= least).select("z", "g").toArrow() if least is not None else terms.limit(0).select("z", "g").toArrow()
+    zs, gs = common["z"].to_numpy(), common["g"].to_numpy()
+    order = np.argsort(zs)
+    shared = spark.sparkContext.broadcast((kept_bits, zs[order], gs[order]))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, zs, gs = shared.value
+        for batch in slices(batches):
+            words, place, row = _sequences(batch)
+            at, context = np.arange(len(words)), np.zeros(len(words), np.uint64)
+            found, owner = [], []
+            for d in range(1, depth + 1):
+                within = place[at] >= d
+                at, context = at[within], context[within]
+                context = longer(context, words[at - d])
+                inside = _passes(kept, context)
+                at, context = at[inside], context[inside]
+                found += [context, followed(context, words[at])]
+                owner += [row[at]] * 2
+            z, r = np.concatenate(found).view(np.int64), np.concatenate(owner)
+            place_of = np.minimum(np.searchsorted(zs, z), max(len(zs) - 1, 0))
+            held = zs[place_of] == z if len(zs) else np.zeros(len(z), bool)
+            gain = np.bincount(r[held], weights=gs[place_of[held]], minlength=batch.num_rows).astype(np.float64)
+            order = np.argsort(r[~held], kind="stable")
+            cuts = np.searchsorted(r[~held][order], np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch["u"], pa.array(gain), pa.ListArray.from_arrays(pa.array(cuts), pa.array(z[~held][order]))], names=["u", "gain", "zs"])
+
+    got = cut(texts.select("u", "w").mapInArrow(summed, "u bigint, gain double, zs array<bigint>"), "lm-gains")
+    others = terms if least is None else terms.where(F.col("n") < least)
+    rest = got.select("u", F.explode("zs").alias("z")).join(others.select("z", "g"), "z").groupBy("u").agg(F.sum("g").alias("gain"))
+    return got.select("u", "gain").union(rest)
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, params: Params = Params()) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row.
 
@@ -240,28 +425,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     whole = total + 0.1 * (distinct + 1)
     top = counts.orderBy(F.desc("n"), "key").limit(params.counted).toArrow()
     keys, ns = top["key"].to_numpy(), top["n"].to_numpy()
-    end = word_key(END)
-    common = {int(x): i for i, x in enumerate(keys[: params.words - 1])}
-    if end not in common:
-        common[end] = params.words - 1
     held = dict(zip(keys.tolist(), ns.tolist()))
-    spark = docs.sparkSession
-    if total:
-        by_class = np.full(params.classes, 0.1)
-        listed = F.col("key").isin(list(common))
-        for c, n, v in counts.where(~listed).groupBy("class").agg(F.sum("n"), F.count("*")).collect():
-            by_class[c] += n + 0.1 * v
-        mass = np.full(params.words, 1e-9)
-        for x, i in common.items():
-            mass[i] = held.get(x, 0) + 0.1
-        tree = grow(training, common, np.concatenate([mass, by_class]) / whole, params)
-    else:
-        tree = Tree(np.zeros((params.symbols + 1, params.symbols + 1), np.int32), np.zeros((1, params.symbols), np.float32))
-    shared = spark.sparkContext.broadcast((common, held, tree))
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, held, tree = shared.value
-        words = Words(Symbols(common, params), held, whole)
+        words = Words(Symbols({}, params), shared.value, whole)
+        first = np.array([word_key(START)], np.int64)
         for batch in slices(batches):
             n = batch.num_rows
             lists, starts = word_lists(batch["t"].to_pylist())
@@ -270,26 +439,30 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
             rare = np.isnan(logs)
             row = np.repeat(np.arange(n), np.diff(starts))
             sums = [np.add.reduceat(x, starts[:-1]) for x in (~rare, np.where(rare, 0.0, logs))]
-            gains = tree.adjust(np.array(words.kinds)[at], starts)
+            keyed = np.array(words.keys)[at]
+            encoded = [np.concatenate([first, keyed[a:b]]).tobytes() for a, b in zip(starts, starts[1:])]
             # Rare words by text, each with how often it stands there.
             codes, times = np.unique(row[rare] << 40 | at[rare], return_counts=True)
             cuts = np.searchsorted(codes, np.arange(n + 1) << 40).astype(np.int32)
             keys = np.array(words.keys)[codes & ((1 << 40) - 1)]
-            columns = [batch["k"], batch["f"], pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(gains)]
+            columns = [batch["k"], batch["f"], pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(encoded, pa.binary())]
             columns += [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int64))) for x in (keys, times)]
-            yield pa.RecordBatch.from_arrays(columns, names=["k", "f", "n_tokens", "known", "base", "gain", "keys", "times"])
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "f", "n_tokens", "known", "base", "w", "keys", "times"])
 
-    ddl = f"k {kind}, f int, n_tokens bigint, known bigint, base double, gain double, keys array<bigint>, times array<bigint>"
+    ddl = f"k {kind}, f int, n_tokens bigint, known bigint, base double, w binary, keys array<bigint>, times array<bigint>"
     texts = cut(rows.select("k", "t", "f").mapInArrow(scored, ddl).withColumn("u", F.monotonically_increasing_id()), "lm-texts")
     rare = texts.where("size(keys) > 0").select("u", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("u", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
     # The words that tasks hold are looked up there; none of the others is common.
     seen = rare.join(counts.select("key", "n"), "key", "left")
     n = F.coalesce(F.col("n"), F.lit(0))
-    sums = seen.groupBy("u").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"), F.sum(F.col("times") * F.log10((n + 0.1) / F.lit(float(whole)))).alias("rare_base")
+    by_word = seen.select(
+        "u", F.when(n > 0, F.col("times")).otherwise(0).alias("rare_known"), (F.col("times") * F.log10((n + 0.1) / F.lit(float(whole)))).alias("rare_base"), F.lit(0.0).alias("gain")
     )
+    shares = counts.select(F.col("key").alias("x"), F.log((F.col("n") + 0.1) / F.lit(float(whole))).alias("below"))
+    by_state = gains(texts.select("u", "f", "w"), shares, params).select("u", F.lit(0).cast("bigint"), F.lit(0.0), "gain")
+    sums = by_word.union(by_state).groupBy("u").agg(*[F.sum(c).alias(c) for c in ("rare_known", "rare_base", "gain")])
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return texts.join(sums, "u", "left").select(
+    return texts.drop("w").join(sums, "u", "left").select(
         F.col("k").alias(key),
         (F.col("f") == 0).alias("held_out"),
         "n_tokens",

@@ -95,3 +95,54 @@ def test_numbers_of_words_start_afresh():
         at = words.of(lists, 2)
         assert [words.keys[i] for i in at] == [S.word_key(w) for w in lists[0]]
         assert [bool(np.isnan(words.logs[i])) for i in at] == [w != b"a" for w in lists[0]]
+
+
+def test_contexts_of_any_number_and_length(spark):
+    """Scores against a plain tree of words, with contexts of three words that tell the next one."""
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    texts = []
+    for a, b, c in itertools.product(range(2), range(2), range(2)):
+        texts += [" ".join(f"{x}{y}" for x, y in zip("pqr", (a, b, c))) + f" end{a}{b}{c} " + " ".join(f"z{rng.randrange(400)}" for _ in range(5)) for _ in range(40)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    p = S.Params(words=4, classes=2, states=1, counted=3, least=8, divergence=0.01, prior=5.0)
+    train = [["<s>", *words(t)] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(x for t in train for x in t[1:])
+    whole = sum(counts.values()) + 0.1 * (len(counts) + 1)
+    states, open_, depth = {}, {()}, 0
+
+    def prob(context, x):
+        if not context:
+            return (counts[x] + 0.1) / whole
+        after = states[context]
+        return (after[x] + p.prior * prob(context[1:], x)) / (after.total() + p.prior)
+
+    while open_:
+        depth += 1
+        after = {}
+        for t in train:
+            for i in range(depth, len(t)):
+                if t[i - depth + 1 : i] in map(list, open_):
+                    after.setdefault(tuple(t[i - depth : i]), Counter())[t[i]] += 1
+        open_ = set()
+        for c, f in after.items():
+            states[c] = f
+            q, below = ({x: prob(k, x) for x in f} for k in (c, c[1:]))
+            left = p.prior / (f.total() + p.prior)
+            d = sum(q[x] * math.log(q[x] / below[x]) for x in f) + left * (1 - sum(below.values())) * math.log(left)
+            if f.total() >= p.least and d >= p.divergence and 2 * f.total() * d >= len(f):
+                open_.add(c)
+            else:
+                del states[c]
+    # More than one state of two words, which is all that ``states`` would leave, and states of three.
+    assert sum(len(c) == 2 for c in states) > 1 and max(map(len, states)) >= 3
+    for held in (0, 10, 10**6):
+        got = {r.doc_id: r.score for r in S.score(spark.createDataFrame(rows, SCHEMA), params=S.Params(**(vars(p) | {"terms": held}))).collect()}
+        for i, t in enumerate(texts):
+            seq, expected = ["<s>", *words(t)], 0.0
+            for k in range(1, len(seq)):
+                c = max((tuple(seq[j:k]) for j in range(k + 1) if j == k or tuple(seq[j:k]) in states), key=len)
+                expected += math.log10(prob(c, seq[k]))
+            assert abs(got[i] - expected) < 1e-6
