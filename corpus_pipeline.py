@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least doc_id of each group joined by five-word n-gram similarity."""
+    """The row of the least doc_id of each group joined by five-word n-gram similarity, and one without a doc_id."""
     return ngram_join.one_of_each(docs)
 
 

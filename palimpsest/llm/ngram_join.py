@@ -127,7 +127,7 @@ def links_within(sets_a: list, bands_a: np.ndarray, sets_b: list | None, bands_b
 
 @dataclass
 class Joined:
-    """rows: (id, mark) of every row, mark null without n-grams.  classes: (mark, id,
+    """rows: (id, mark, h) of every row, mark null without n-grams, h a hash of the text.  classes: (mark, id,
     copies, n) of every n-gram set, id its least key.  links: (a, b) marks of similar
     sets: every pair of small buckets, and enough to span the groups of large ones.
     counts: (mark, links), similar rows in other classes, copies included."""
@@ -143,7 +143,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
     rows and ids are copies like any others; rows of one key with different texts
     stay apart.  Other columns are left aside; an empty table gives empty tables."""
     kind = docs.schema[key].dataType.simpleString()
-    kept = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
+    kept = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bander = Shingler(params.n), Bander(params)
@@ -151,10 +151,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
             grams = [shingler.of(t) for t in batch["t"].to_pylist()]
             marks = [_mark(g) for g in grams]
             bands = [bander.of(g).tobytes() if len(g) else None for g in grams]
-            columns = [batch["id"], pa.array(marks, pa.binary()), pa.array(bands, pa.binary()), pa.array([len(g) for g in grams], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "bands", "n"])
+            columns = [batch["id"], pa.array(marks, pa.binary()), pa.array(bands, pa.binary()), pa.array([len(g) for g in grams], pa.int32()), batch["h"]]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "bands", "n", "h"])
 
-    rows = cut(kept.mapInArrow(signed, f"id {kind}, mark binary, bands binary, n int"), "join-rows")
+    rows = cut(kept.mapInArrow(signed, f"id {kind}, mark binary, bands binary, n int, h bigint"), "join-rows")
     classes = cut(rows.where("mark is not null").groupBy("mark", "bands", "n").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "join-classes")
 
     banded = _bands(classes, params)
@@ -176,7 +176,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
         .groupBy("mark")
         .agg(F.sum("links").alias("links"))
     )
-    return Joined(rows.select("id", "mark"), classes.select("mark", "id", "copies", "n"), links, counts)
+    return Joined(rows.select("id", "mark", "h"), classes.select("mark", "id", "copies", "n"), links, counts)
 
 
 def _mark(grams: np.ndarray) -> bytes | None:
@@ -359,10 +359,27 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", param
 
 
 def one_of_each(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """``docs``, its columns as they are, with the row of the least doc_id of each class alone.
-    Rows without a doc_id stay."""
-    classes = near_classes(docs, params=params)
-    gone = classes.where("doc_id != class_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    rows, keys = classes.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
-    return kept if rows == keys else kept.dropDuplicates(["doc_id", "text"])
+    """``docs``, its columns as they are, with one row of each class: that of the least doc_id, then
+    of the least hash of its text, then the least row.  Rows without a doc_id never take the place
+    of one that has it, nor it theirs: one of them stays of each class.  Rows without n-grams are
+    in no class; of those of one doc_id and text one stays."""
+    got = join(docs, params=params)
+    roots = components(got.links).withColumnRenamed("node", "mark")
+    least = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))).alias("first"), F.min(F.when(F.col("id").isNull(), F.col("h"))).alias("unkeyed")
+    own = cut(got.rows.where("mark is not null").groupBy("mark").agg(*least), "join-least")
+    named = own.join(roots, "mark").withColumn("salt", F.pmod(F.xxhash64("mark"), F.lit(SALTS)).cast("int"))
+    groups = named.groupBy("root").agg(F.min("first").alias("group_first"), F.min("unkeyed").alias("group_unkeyed"))
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    linked = named.join(groups, ["root", "salt"]).select("mark", "group_first", "group_unkeyed")
+    leaders = own.join(linked, "mark", "left").select("mark", F.coalesce("group_first", "first").alias("first"), F.coalesce("group_unkeyed", "unkeyed").alias("unkeyed"))
+    beyond = F.when(F.col("id").isNull(), F.col("h") != F.col("unkeyed")).otherwise(F.struct("id", "h") != F.col("first"))
+    told = got.rows.join(leaders, "mark", "left").select(F.col("id").alias("at_id"), F.col("h").alias("at_h"), F.coalesce(beyond, F.lit(False)).alias("gone"))
+    told = told.groupBy("at_id", "at_h").agg(F.first("gone").alias("gone"), (F.count("*") > 1).alias("many")).where("gone or many")
+    told = cut(told, "join-told")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    kept = rows.join(told, (F.col("h") == F.col("at_h")) & F.col("id").eqNullSafe(F.col("at_id")), "left").where("gone is null or not gone")
+    if told.where("many and not gone").isEmpty():
+        return kept.select("row.*")
+    turn = F.row_number().over(Window.partitionBy("id", "h").orderBy(F.to_json("row")))
+    repeated = kept.where("many").withColumn("turn", turn).where("turn = 1")
+    return kept.where("many is null or not many").select("row.*").union(repeated.select("row.*"))

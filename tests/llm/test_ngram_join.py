@@ -90,6 +90,19 @@ def test_one_of_each(spark, awkward):
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(["1", "3", "4", "5", "6", "7", "8", "9", "9", "10", "None", "None"])
 
 
+def test_one_of_each_decides_by_row(spark):
+    rng = random.Random(8)
+    x, y, z = (" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(60)) for c in "xyz")
+    rows = [(1, x), (5, x), (5, y), (6, z), (6, z + " more"), (7, z), (None, "a lone row without a key"), (None, x), (None, x), (None, x + " more"), (8, ""), (8, "")]
+    kept = lambda rows: sorted((str(r.doc_id), r.text) for r in J.one_of_each(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)).collect())
+    got = kept(rows)
+    assert got == kept(rows[::-1])
+    assert [r for r in got if r[0] in "15"] == [("1", x), ("5", y)]
+    assert [i for i, _ in got] == ["1", "5", "6", "8", "None", "None"]
+    # No other id repeats: copies without an id are copies all the same.
+    assert kept([(1, y), (None, x), (None, x), (None, x)]) == sorted([("1", y), ("None", x)])
+
+
 def test_recall_sets_the_bands():
     p = J.Params()
     assert 1 - (1 - p.threshold**p.rows) ** p.bands >= p.recall
