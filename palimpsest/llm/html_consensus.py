@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
-Pass 1 scores every container of every page by the text it holds; each page
-votes for its best container's generalised tag-class path.  Spark adds the votes
+Pass 1 scores every container of every page by the text it holds; each page votes
+for the generalised tag-class path of its best container, or of the outermost one
+around it that adds to the article.  Spark adds the votes
 up by host.  Pass 2 extracts every page again with its host's winning paths, in
 order of votes; a page that has none of them falls back on its own best container.
 """
@@ -214,14 +215,38 @@ def _score(nodes: list[Node]) -> dict[int, float]:
     return {id(n): n.weight * (total[id(n)] - 2 * n.link + (40 if n.tag in ("article", "main") else 0)) for n in nodes}
 
 
+#: Share of a container's text from which what stands beside it is a part of the article.
+_PART = 0.25
+
+
+def _whole(best: Node, nodes: list[Node]) -> Node:
+    """The outermost container around ``best`` that adds to the article: text of its own, as a
+    title or a lead, or parts beside that are not small.  For the page itself only parts count."""
+    held = {id(n): n.own - 2 * n.link for n in nodes}
+    for n in reversed(nodes):
+        if n.parent is not None:
+            held[id(n.parent)] += held[id(n)]
+    around = best.parent
+    while around is not None:
+        own = around.own - 2 * around.link if around.tag not in ("html", "body") else 0
+        if own > 0 or held[id(around)] - held[id(best)] >= _PART * max(held[id(best)], 1):
+            best = around
+        around = around.parent
+    return best
+
+
+def _best(nodes: list[Node]) -> tuple[Node | None, float]:
+    """The container that holds the page's article, and the score of the best one in it; of equal ones the first."""
+    inner = [n for n in nodes if n.path]
+    score = _score(inner)
+    best = max(inner, key=lambda n: score[id(n)], default=None)
+    return (None, 0.0) if best is None else (_whole(best, nodes), score[id(best)])
+
+
 def vote(html: str | None) -> tuple[str, float] | None:
-    """The generalised path of a page's best container, and the share of the page's text it scores."""
-    nodes = [n for n in parse(html) if n.path]
-    if not nodes:
-        return None
-    score = _score(nodes)
-    best = max(nodes, key=lambda n: score[id(n)])  # ties: the first
-    return (best.path, 1.0) if score[id(best)] > 0 else None
+    """The generalised path of a page's best container, that of the page itself being empty, and 1."""
+    best, score = _best(parse(html))
+    return (best.path, 1.0) if score > 0 else None
 
 
 def extract(html: str | None, paths: list[str]) -> tuple[str, str]:
@@ -230,10 +255,8 @@ def extract(html: str | None, paths: list[str]) -> tuple[str, str]:
     nodes = parse(html)
     chosen = next((p for p in paths if any(n.path == p for n in nodes)), None)
     if chosen is None:
-        inner = [n for n in nodes if n.path]
-        if inner:
-            score = _score(inner)
-            chosen = max(inner, key=lambda n: score[id(n)]).path
+        best, _ = _best(nodes)
+        chosen = None if best is None else best.path
     picked: set[int] = set()
     blocks: list[tuple[int, str]] = []
     for n in nodes:

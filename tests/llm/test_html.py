@@ -71,3 +71,22 @@ def test_whole_table_against_its_articles(spark):
 
 def test_vote_of_empty_pages():
     assert vote(None) is None and vote("<nav>x</nav>") is None
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<body><main><h1>T</h1><div class='content'><p>{a}</div></main>", "T\n{a}"),
+        ("<body><main><h1>T</h1><div><div class='content'><p>{a}</div></div></main><div class='ad'>x</div>", "T\n{a}"),
+        ("<div class='post'><h1>T</h1><div class='post-lead'>lead</div><div class='post-body'>{a}</div></div>", "T\nlead\n{a}"),
+        ("<div class='wrap'><section class='intro'>{a}</section><section class='details'>{b}</section></div>", "{a}\n{b}"),
+        ("<body><section class='intro'>{a}</section><section class='details'>{b}</section>", "{a}\n{b}"),
+        ("<section class='intro'>{a}</section><section class='details'>{b}</section>", "{a}\n{b}"),
+        ("<body><div class='teaser'>short</div><div class='story'>{a}</div><div class='list'><a href='/'>{b}</a></div>", "{a}"),
+    ],
+)
+def test_parts_and_titles_stay_with_the_article(page, text):
+    a, b = " ".join(["word"] * 80), " ".join(["more"] * 60)
+    page, text = page.format(a=a, b=b), text.format(a=a, b=b)
+    assert extract(page, [])[0] == text
+    assert extract(page, [vote(page)[0]])[0] == text
