@@ -152,8 +152,10 @@ def search(
         return spark.createDataFrame([], schema)
     lengths = np.bincount([len(v) for v in sample])
     width = int(lengths.argmax())
-    curves = fit(np.array([v for v in sample if len(v) == width]), params, k)
     rows = rows.where(F.size("v") == width)
+    # The window is fitted on vectors that differ: copies find each other in any.
+    unlike = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(params.sample).toArrow()["v"].to_pylist()
+    curves = fit(np.array(unlike), params, k)
     shared = spark.sparkContext.broadcast(curves)
 
     # Equal vectors: the smallest keys; the limit holds before the shuffle as well.

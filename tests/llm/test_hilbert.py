@@ -83,3 +83,13 @@ def test_parts_of_a_window(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     whole = {tuple(r) for r in H.search(df, every=4).collect()}
     assert whole == {tuple(r) for r in H.search(df, every=4, params=H.Params(part=7)).collect()}
+
+
+def test_the_window_is_fitted_on_vectors_that_differ(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(300, 8))
+    rows = [(i, [float(x) for x in vectors[i if i % 3 else 0]]) for i in range(300)]
+    fitted, fit = [], H.fit
+    monkeypatch.setattr(H, "fit", lambda sample, *rest: fitted.append(sample) or fit(sample, *rest))
+    H.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert len(fitted[0]) == len(np.unique(fitted[0], axis=0)) == 201
