@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -305,15 +306,17 @@ def _in_blocks(buckets: DataFrame, sets: DataFrame, params: Params) -> DataFrame
     return members.groupBy("band", "hash", "i", "j").applyInArrow(linked, "a binary, b binary, links bigint")
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root): every node of ``links`` (a, b) with the least node it is joined to.
 
     Large-star and small-star steps in turn, until nothing changes; each round ends
-    in a written table.  A node with very many links is met by partial minima and a
+    in a written table.  It is an error if that takes more than ``rounds``, if given.  A node with very many links is met by partial minima and a
     join that adaptive execution can split."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "stars")
     seen = None
-    for _ in range(rounds):
+    for done in count():
+        if done == rounds:
+            raise RuntimeError(f"classes are not joined after {rounds} rounds")
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

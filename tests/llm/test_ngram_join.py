@@ -124,3 +124,10 @@ def test_components(spark):
     rows = J.components(spark.createDataFrame(chain, "a binary, b binary")).collect()
     assert {(r.node[0], r.root[0]) for r in rows} == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 140)}
     assert J.components(spark.createDataFrame([], "a binary, b binary")).count() == 0
+
+
+def test_components_never_ends_unfinished(spark):
+    chain = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(60)], "a binary, b binary")
+    with pytest.raises(RuntimeError):
+        J.components(chain, rounds=1)
+    assert {r.root[0] for r in J.components(chain).collect()} == {0}
