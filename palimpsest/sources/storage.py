@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -10,19 +11,38 @@ from pyspark.sql.types import StructType
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is named."""
+    """The folder that driver and executors share, as the cluster names it.
+
+    A session on one machine (tests) that names none gets a temporary one; on a cluster
+    that would be a folder of each machine's own, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         folder = "file://" + tempfile.mkdtemp(prefix="palimpsest-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: what is lost with an executor is read again."""
-    path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def cut(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write to the shared folder and read back: lineage ends there, what is lost with an
+    executor is read again, and the files go when the driver ends."""
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**{"compression": "zstd"} | (options or {})).parquet(path)
+    delete_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    def gone() -> None:
+        try:
+            delete(spark, path)
+        except Exception:  # the JVM may have ended already; the folder's owner cleans up then
+            pass
+
+    atexit.register(gone)
 
 
 def _fs(spark: SparkSession, path: str):
