@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from palimpsest.llm import apportion_mix, bpe_codec, ftrl_toxicity, ngram_join, rff_quality
-from palimpsest.llm.common import shared_dir
+from palimpsest.sources.storage import delete_at_exit, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = f"{scratch(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        delete_at_exit(spark, path)
         docs = spark.read.parquet(path)
     return docs
