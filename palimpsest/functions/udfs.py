@@ -19,8 +19,9 @@ def references_with_normal_form(text: str | None, domain: str | None) -> list[di
         if not ref["raw_reference"].strip():
             continue
         normal = normalize_wikitext(ref["raw_reference"])
+        seen: dict[str, list[int]] = {}
         places = [
-            template_offset(normal, template_name(t["template_name"]), i, t["full_text"], ref["offset_start"])
+            template_offset(normal, template_name(t["template_name"]), i, t["full_text"], ref["offset_start"], seen)
             for i, t in enumerate(ref["templates"], 1)
         ]
         out.append(ref | {"normalized": normal, "template_offsets": places})

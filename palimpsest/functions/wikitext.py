@@ -7,21 +7,29 @@ Catalyst can follow balanced nesting, so this is the one place that needs Python
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
+from functools import cmp_to_key
 
 from .config import WikiConfig, wiki_config
 
-_SHIELD = re.compile(r"<!--.*?(?:-->|\Z)|<nowiki\s*/>|<(nowiki|pre|syntaxhighlight|math|source)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_SHIELD_OPEN = re.compile(r"<!--|<nowiki\s*/>|<(nowiki|pre|syntaxhighlight|math|source)\b", re.I)
+_SHIELD_CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("nowiki", "pre", "syntaxhighlight", "math", "source")}
 _REF_OPEN = re.compile(r"<ref(?=[\s/>])((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*?)(/?)>", re.I)
 _REF_CLOSE = re.compile(r"</ref\s*>", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]*[^\s"'<>/]|)|(\S+)""")
+_EVENT = re.compile(r"\{(?=\{)|\[(?=\[)|\}(?=\})|\](?=\])|<")
 _SPACES = re.compile(r"\s+")
 _MARKERS = re.compile(r"[*#]+")
 _URL = re.compile(r"(?:https?|ftp)://[^\s<>\[\]{}|\"]+", re.I)
 _BRACKETED = re.compile(r"\[((?:https?|ftp)://[^\s<>\[\]{}|\"]+)[^\]\n]*\]", re.I)
-_HEADING = re.compile(r"^(={1,6})\s*(.*?)\s*\1\s*$", re.M)
+_HEADING = re.compile(r"^=[^\n]*", re.M)
 _ITEM = re.compile(r"^[*#][^\n]*", re.M)
 _TRAILING = ".,;:!?'"
+#: Templates that stand deeper in others are no templates of their own, as a wiki expands none there;
+#: what lists all templates with their texts stays in proportion to the text.
+DEEPEST = 100
 
 #: Templates that stand for a short footnote, outside <ref> as well.
 SHORT_FOOTNOTES = frozenset("sfn sfnp sfnm harv harvnb harvtxt harvcol harvcolnb harvs".split())
@@ -37,50 +45,14 @@ def template_name(raw: str) -> str:
 
 @dataclass
 class Template:
-    """A template as it stands: its span, its name, and its parts between bars."""
+    """A template as it stands: its span, that of its name, and its parts between bars."""
 
     start: int
     end: int
-    name: str
+    named: tuple[int, int]
     parts: list[tuple[int, int]]
 
 
-def _skip(text: str, i: int) -> int:
-    """Where a comment or shielded tag that starts at ``i`` ends, or ``i``."""
-    found = _SHIELD.match(text, i) if text[i] == "<" else None
-    return found.end() if found else i
-
-
-def _close(text: str, i: int, end: int) -> tuple[int, list[int]] | None:
-    """For an opening pair at ``i``, {{ or [[: where it ends, and its own bars."""
-    closing = "}}" if text[i] == "{" else "]]"
-    bars: list[int] = []
-    at = i + 2
-    while at < end:
-        c = text[at]
-        if c == "<":
-            past = _skip(text, at)
-            if past > at:
-                at = past
-                continue
-            ref = _ref(text, at, end)
-            if ref:
-                at = ref.end
-                continue
-        elif text.startswith(closing, at):
-            return at + 2, bars
-        elif text.startswith(("{{", "[["), at):
-            inner = _close(text, at, end)
-            if inner:
-                at = inner[0]
-                continue
-            at += 1
-        elif c == "|":
-            bars.append(at)
-        at += 1
-    return None
-
-
 @dataclass
 class _Ref:
     start: int
@@ -89,21 +61,131 @@ class _Ref:
     body: tuple[int, int] | None
 
 
-def _ref(text: str, i: int, end: int) -> _Ref | None:
-    opened = _REF_OPEN.match(text, i, end)
-    if not opened:
-        return None
-    if opened[2]:
-        return _Ref(i, opened.end(), opened[1], None)
-    at = opened.end()
-    while True:
-        closed = _REF_CLOSE.search(text, at, end)
-        if not closed:
+class Scan:
+    """What opens and closes in a text, found in one pass each way and looked up from then on.
+
+    ``shields``: where comments and shielded tags start and end.  ``refs``: <ref> elements by
+    their start.  ``closes``: where pairs, {{ }} and [[ ]], end, by their start.  A pair that
+    never closes is plain text, and what stands in it may close what stands around it.
+    """
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.shields = self._find_shields()
+        starts = list(self.shields)
+        inside = lambda at: (i := bisect_right(starts, at) - 1) >= 0 and at < self.shields[starts[i]]
+        closers = [m for m in _REF_CLOSE.finditer(text) if not inside(m.start())] if "</" in text else []
+        at_closers = [m.start() for m in closers]
+        self.refs: dict[int, _Ref] = {}
+        self.closes: dict[int, int] = {}
+        self.triples: list[int] | None = None
+        self.events = [m.start() for m in _EVENT.finditer(text) if not (starts and inside(m.start())) or m.start() in self.shields]
+        self._places = {at: i for i, at in enumerate(self.events)}
+        # Where the first }} and ]] stand that a walk from each event meets outside of pairs.
+        n = len(self.events)
+        braces, brackets = [-1] * (n + 1), [-1] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            at = self.events[i]
+            c = text[at]
+            if c == "<":
+                to = self.shields.get(at)
+                if to is None:
+                    ref = self._find_ref(at, closers, at_closers)
+                    if ref:
+                        self.refs[at] = ref
+                    to = ref.end if ref else at + 1
+            elif c in "{[":
+                closing = (braces if c == "{" else brackets)[self._first(at + 2)]
+                to = at + 2
+                if closing >= 0:
+                    to = self.closes[at] = closing + 2
+            else:
+                to = at + 1
+            on = self._first(to)
+            braces[i] = at if c == "}" else braces[on]
+            brackets[i] = at if c == "]" else brackets[on]
+
+    def _first(self, at: int) -> int:
+        """The number of the first event from ``at`` on."""
+        found = self._places.get(at)
+        return bisect_left(self.events, at) if found is None else found
+
+    def _find_shields(self) -> dict[int, int]:
+        text, found, at = self.text, {}, 0
+        while m := _SHIELD_OPEN.search(text, at):
+            if m[0] == "<!--":
+                end = text.find("-->", m.end())
+                end = len(text) if end < 0 else end + 3
+            elif m[1] is None:
+                end = m.end()
+            else:
+                opened = text.find(">", m.end())
+                if opened < 0:  # neither this nor a later one opens; comments may follow
+                    at = text.find("<!--", m.end())
+                    if at < 0:
+                        break
+                    continue
+                closed = _SHIELD_CLOSE[m[1].lower()].search(text, opened + 1)
+                end = closed.end() if closed else len(text)
+            found[m.start()] = at = end
+        return found
+
+    def _find_ref(self, at: int, closers: list[re.Match], at_closers: list[int]) -> _Ref | None:
+        opened = _REF_OPEN.match(self.text, at)
+        if not opened:
+            return None
+        if opened[2]:
+            return _Ref(at, opened.end(), opened[1], None)
+        i = bisect_left(at_closers, opened.end())
+        return _Ref(at, closers[i].end(), opened[1], (opened.end(), at_closers[i])) if i < len(closers) else None
+
+    def skip(self, at: int) -> int:
+        """Where a comment or shielded tag that starts at ``at`` ends, or ``at``."""
+        return self.shields.get(at, at)
+
+    def over(self, at: int, end: int) -> int:
+        """Where the markup that starts at event ``at`` ends, or the next place to look at."""
+        if at in self.shields:
+            return self.shields[at]
+        if at in self.refs and self.refs[at].end <= end:
+            return self.refs[at].end
+        if at in self.closes and self.closes[at] <= end:
+            return self.closes[at]
+        return at + (2 if self.text[at] in "{[" else 1)
+
+    def outside(self, start: int, end: int, sign: str) -> Iterator[int]:
+        """Places of ``sign`` from ``start`` to ``end`` that stand in no nested markup."""
+        at, i = start, self._first(start)
+        while at < end:
+            stop = min(self.events[i], end) if i < len(self.events) else end
+            while (found := self.text.find(sign, at, stop)) >= 0:
+                yield found
+                at = found + 1
+            if stop == end:
+                return
+            at = self.over(stop, end)
+            i = self._first(at)
+
+    def template(self, at: int, end: int) -> Template | None:
+        if self.text.startswith("{{{", at) or self.text[at] != "{":
+            return None
+        stop = self.closes.get(at)
+        if stop is None or stop > end:
             return None
-        shield = next((m for m in _SHIELD.finditer(text, at, end) if m.start() < closed.start() < m.end()), None)
-        if shield is None:
-            return _Ref(i, closed.end(), opened[1], (opened.end(), closed.start()))
-        at = shield.end()
+        edges = [at + 1, *self.outside(at + 2, stop - 2, "|"), stop - 2]
+        parts = [(a + 1, b) for a, b in zip(edges, edges[1:])]
+        return Template(at, stop, parts[0], parts[1:])
+
+    def equals(self, start: int, end: int) -> int:
+        """The first = of a parameter that stands in no nested markup, or -1."""
+        return next(self.outside(start, end, "="), -1)
+
+    def triple(self, at: int, end: int) -> int:
+        """Where the first }}} from ``at`` on starts, or -1."""
+        if self.triples is None:
+            self.triples = [m.start() for m in re.finditer(r"\}(?=\}\})", self.text)]
+        i = bisect_left(self.triples, at)
+        return self.triples[i] if i < len(self.triples) and self.triples[i] + 3 <= end else -1
 
 
 def _attributes(raw: str) -> list[tuple[str, str | None]]:
@@ -118,43 +200,55 @@ def _attributes(raw: str) -> list[tuple[str, str | None]]:
     return out
 
 
-def _template(text: str, i: int, end: int) -> Template | None:
-    if not text.startswith("{{", i) or text.startswith("{{{", i):
-        return None
-    closed = _close(text, i, end)
-    if not closed:
-        return None
-    stop, bars = closed
-    edges = [i + 1, *bars, stop - 2]
-    parts = [(a + 1, b) for a, b in zip(edges, edges[1:])]
-    return Template(i, stop, text[parts[0][0] : parts[0][1]], parts[1:])
-
-
-def _equals(text: str, start: int, end: int) -> int:
-    """The first = of a parameter that stands in no nested markup, or -1."""
-    at = start
-    while at < end:
-        if text[at] == "=":
-            return at
-        if text[at] == "<":
-            past = _skip(text, at)
-            ref = None if past > at else _ref(text, at, end)
-            at = past if past > at else ref.end if ref else at + 1
-        elif text.startswith(("{{", "[["), at):
-            inner = _close(text, at, end)
-            at = inner[0] if inner else at + 2
-        else:
-            at += 1
-    return -1
+#: Text in pieces: a string, or a list of such.
+Rope = str | list
+#: A part of a text to bring to its normal form: its scan, start and end; fold: runs of white
+#: space become one space, as inside a template; line: a line starts there.
+Part = tuple[Scan, int, int, bool, bool]
 
 
 def normalize_wikitext(text: str | None) -> str | None:
     """The normal form of ``text``: template names and parameters, references' attributes,
-    link targets, and list markers written in one way.  Null gives null."""
+    link targets, and list markers written in one way.  Null gives null.  Time follows
+    the length, however deep the text nests."""
     if text is None:
         return None
     text = text.strip()
-    return _normal(text, 0, len(text), False, True)
+    # Nested parts wait for each other on a stack of generators, not on Python's own.
+    waiting = [_normal((Scan(text), 0, len(text), False, True))]
+    result: Rope | None = None
+    while waiting:
+        try:
+            waiting.append(_normal(waiting[-1].send(result)))
+            result = None
+        except StopIteration as done:
+            waiting.pop()
+            result = done.value
+    return "".join(_pieces(result))
+
+
+def _pieces(rope: Rope) -> Iterator[str]:
+    stack = [iter((rope,))]
+    while stack:
+        for x in stack[-1]:
+            if isinstance(x, str):
+                yield x
+            else:
+                stack.append(iter(x))
+                break
+        else:
+            stack.pop()
+
+
+def _order(a: Rope, b: Rope) -> int:
+    """Compares texts in pieces, as far as they need be read."""
+    left, right, x, y = _pieces(a), _pieces(b), "", ""
+    while True:
+        x, y = x or next((p for p in left if p), ""), y or next((p for p in right if p), "")
+        n = min(len(x), len(y))
+        if x[:n] != y[:n] or not n:
+            return (x > y) - (x < y)
+        x, y = x[n:], y[n:]
 
 
 def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
@@ -165,10 +259,11 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-def _normal(text: str, start: int, end: int, fold: bool, line: bool) -> str:
-    """``fold``: runs of white space become one space, as inside a template.
-    ``line``: a line starts at ``start``."""
-    out: list[str] = []
+def _normal(part: Part) -> Generator[Part, Rope, Rope]:
+    """Gives the parts nested in ``part`` and takes their normal forms; returns its own."""
+    scan, start, end, fold, line = part
+    text = scan.text
+    out: list[Rope] = []
     at = start
     while at < end:
         c = text[at]
@@ -182,39 +277,38 @@ def _normal(text: str, start: int, end: int, fold: bool, line: bool) -> str:
             continue
         line = c == "\n"
         if c == "<":
-            past = min(_skip(text, at), end)
+            past = min(scan.skip(at), end)
             if past > at:
                 out.append(text[at:past])
                 at = past
                 continue
-            ref = _ref(text, at, end)
-            if ref:
-                out.append(_normal_ref(text, ref))
+            ref = scan.refs.get(at)
+            if ref and ref.end <= end:
+                out.append((yield from _normal_ref(text, ref)))
                 at = ref.end
                 continue
         elif text.startswith("{{{", at) and not text.startswith("{{{{", at):
-            close = text.find("}}}", at, end)
+            close = scan.triple(at, end)
             if close >= 0:
                 out.append(text[at : close + 3])
                 at = close + 3
                 continue
         elif c == "{":
-            template = _template(text, at, end)
+            template = scan.template(at, end)
             if template:
-                out.append(_normal_template(text, template))
+                out.append((yield from _normal_template(scan, template)))
                 at = template.end
                 continue
-        elif text.startswith("[[", at):
-            closed = _close(text, at, end)
-            if closed:
-                stop, bars = closed
-                target_end = bars[0] if bars else stop - 2
-                target = text[at + 2 : target_end]
-                plain = not any(x in target for x in "{<")
-                out.append("[[" + (target.replace("_", " ") if plain else _normal(text, at + 2, target_end, fold, False)))
-                out.append(_normal(text, target_end, stop - 2, fold, False) + "]]")
-                at = stop
-                continue
+        elif c == "[" and scan.closes.get(at, end + 1) <= end:
+            stop = scan.closes[at]
+            target_end = next(scan.outside(at + 2, stop - 2, "|"), stop - 2)
+            if text.find("{", at + 2, target_end) < 0 and text.find("<", at + 2, target_end) < 0:
+                out.append("[[" + text[at + 2 : target_end].replace("_", " "))
+            else:
+                out += ["[[", (yield (scan, at + 2, target_end, fold, False))]
+            out += [(yield (scan, target_end, stop - 2, fold, False)), "]]"]
+            at = stop
+            continue
         if fold and c.isspace():
             while at < end and text[at].isspace():
                 at += 1
@@ -222,31 +316,37 @@ def _normal(text: str, start: int, end: int, fold: bool, line: bool) -> str:
             continue
         out.append(c)
         at += 1
-    return "".join(out)
+    return out
 
 
-def _normal_ref(text: str, ref: _Ref) -> str:
+def _normal_ref(text: str, ref: _Ref) -> Generator[Part, Rope, Rope]:
     attributes = "".join(f" {k}" if v is None else f" {k}=\"{v.strip()}\"" for k, v in _attributes(ref.attributes))
     if ref.body is None:
         return f"<ref{attributes} />"
-    return f"<ref{attributes}>{_normal(text, *_trimmed(text, *ref.body), False, False)}</ref>"
+    # What opens in a body closes there or not at all.
+    body = text[slice(*ref.body)].strip()
+    return [f"<ref{attributes}>", (yield (Scan(body), 0, len(body), False, False)), "</ref>"]
 
 
-def _normal_template(text: str, template: Template) -> str:
-    name = template_name(_SPACES.sub(" ", template.name))
-    if any(x in template.name for x in "{<["):
-        first = template.start + 2
-        name = _normal(text, *_trimmed(text, first, first + len(template.name)), True, False)
+def _normal_template(scan: Scan, template: Template) -> Generator[Part, Rope, Rope]:
+    text = scan.text
+    if any(text.find(x, *template.named) >= 0 for x in "{<["):
+        name = yield (scan, *_trimmed(text, *template.named), True, False)
+    else:
+        name = template_name(_SPACES.sub(" ", text[slice(*template.named)]))
     positional, named = [], []
     for start, end in template.parts:
-        equals = _equals(text, start, end)
+        equals = scan.equals(start, end)
         if equals < 0:
-            positional.append(_normal(text, *_trimmed(text, start, end), True, False))
+            positional.append((yield (scan, *_trimmed(text, start, end), True, False)))
         else:
-            key = _normal(text, *_trimmed(text, start, equals), True, False)
-            named.append(f"{key}={_normal(text, *_trimmed(text, equals + 1, end), True, False)}")
+            key = yield (scan, *_trimmed(text, start, equals), True, False)
+            named.append([key, "=", (yield (scan, *_trimmed(text, equals + 1, end), True, False))])
     # The order is that of the rendered parameters, not of their keys.
-    return "{{" + "|".join([name, *positional, *sorted(named)]) + "}}"
+    out: list[Rope] = ["{{", name]
+    for part in (*positional, *sorted(named, key=cmp_to_key(_order))):
+        out += ["|", part]
+    return [*out, "}}"]
 
 
 @dataclass
@@ -263,28 +363,27 @@ class Reference:
 
 
 def templates_of(raw: str) -> list[dict]:
-    """All templates of ``raw`` in the order they open, nested ones after their own."""
+    """All templates of ``raw`` in the order they open, nested ones after their own; those
+    that stand in DEEPEST others or more are parts of these alone."""
     out: list[dict] = []
+    scan = Scan(raw)
+    around: list[int] = []
     at = 0
-    while at < len(raw):
-        past = _skip(raw, at)
-        if past > at:
-            at = past
-            continue
-        template = _template(raw, at, len(raw))
-        if template and template.name.strip():
+    for at in scan.events:
+        while around and around[-1] <= at:
+            around.pop()
+        template = scan.template(at, len(raw)) if at in scan.closes and len(around) < DEEPEST else None
+        if template and (name := raw[slice(*template.named)].strip()):
+            around.append(template.end)
             parameters, place = [], 0
             for start, end in template.parts:
-                equals = _equals(raw, start, end)
+                equals = scan.equals(start, end)
                 if equals < 0:
                     place += 1
                     parameters.append({"key": str(place), "value": raw[start:end].strip()})
                 else:
                     parameters.append({"key": raw[start:equals].strip(), "value": raw[equals + 1 : end].strip()})
-            out.append({"template_name": template.name.strip(), "full_text": raw[template.start : template.end], "parameters": parameters})
-            at += 2
-        else:
-            at += 1
+            out.append({"template_name": name, "full_text": raw[template.start : template.end], "parameters": parameters})
     return out
 
 
@@ -311,9 +410,9 @@ def extract_references(text: str | None, include_offsets: bool = True, domain: s
         return []
     config = wiki_config(domain)
     found: list[Reference] = []
-    taken = [(m.start(), m.end()) for m in _SHIELD.finditer(text)]
+    scan = Scan(text)
     blank = list(text)
-    for a, b in taken:
+    for a, b in scan.shields.items():
         blank[a:b] = " " * (b - a)
 
     def take(start: int, end: int, kind: int, name: str | None = None) -> None:
@@ -321,53 +420,53 @@ def extract_references(text: str | None, include_offsets: bool = True, domain: s
         found.append(Reference(raw, start, end - start, kind, name, urls_of(raw), templates_of(raw)))
         blank[start:end] = " " * (end - start)
 
-    at = 0
-    while at < len(text):
-        if text[at] == "<":
-            past = _skip(text, at)
-            if past > at:
-                at = past
-                continue
-            ref = _ref(text, at, len(text))
-            if ref:
-                name = next((v for k, v in _attributes(ref.attributes) if k.lower() == "name" and v), None)
-                take(ref.start, ref.end, INLINE, name and name.strip())
-                at = ref.end
-                continue
-        elif text.startswith("{{", at):
-            template = _template(text, at, len(text))
-            if template and template_name(template.name).lower() in SHORT_FOOTNOTES:
+    done = 0
+    for at in scan.events:
+        if at < done:
+            continue
+        if at in scan.shields:
+            done = scan.shields[at]
+        elif at in scan.refs:
+            ref = scan.refs[at]
+            name = next((v for k, v in _attributes(ref.attributes) if k.lower() == "name" and v), None)
+            take(ref.start, ref.end, INLINE, name and name.strip())
+            done = ref.end
+        elif at in scan.closes and (template := scan.template(at, len(text))):
+            if _short_name(text, template) in SHORT_FOOTNOTES:
                 take(template.start, template.end, INLINE)
-                at = template.end
-                continue
-        at += 1
+                done = template.end
 
     rest = "".join(blank)
-    headings = [(m.start(), len(m[1]), m[2].lower()) for m in _HEADING.finditer(rest)]
+    starts, cited_there = _sections(rest, config)
     for item in _ITEM.finditer(rest):
         line = item[0]
         url = _URL.search(line) is not None
-        if _in_section(headings, item.start(), config):
+        above = bisect_left(starts, item.start())
+        if above and cited_there[above - 1]:
             cited = any(is_citation_template(t["template_name"], config) for t in templates_of(line))
             if url or cited or "[[" in line:
                 take(item.start(), item.end(), ENDNOTE)
         elif url:
             take(item.start(), item.end(), OTHER)
     rest = "".join(blank)
+    scan = Scan(rest)
+    ends = [i for i, c in enumerate(rest) if c in "]\n"]
     at = 0
     while at < len(rest):
         if rest.startswith("{{", at):
-            template = _template(rest, at, len(rest))
-            if template and is_citation_template(template.name, config):
+            template = scan.template(at, len(rest))
+            if template and is_citation_template(_short_name(rest, template), config):
                 take(template.start, template.end, OTHER)
             # What else a template holds is no prose.
             at = template.end if template else at + 2
             continue
-        link = _BRACKETED.match(rest, at) if rest[at] == "[" else None
-        if link:
-            take(link.start(), link.end(), OTHER)
-            at = link.end()
-            continue
+        if rest[at] == "[":
+            stop = bisect_left(ends, at)
+            link = _BRACKETED.match(rest, at) if stop < len(ends) and rest[ends[stop]] == "]" else None
+            if link:
+                take(link.start(), link.end(), OTHER)
+                at = link.end()
+                continue
         link = _URL.match(rest, at) if rest[at] in "hHfF" and (at == 0 or not rest[at - 1].isalnum()) else None
         if link:
             take(at, at + len(link[0].rstrip(_TRAILING)), OTHER)
@@ -377,15 +476,31 @@ def extract_references(text: str | None, include_offsets: bool = True, domain: s
     return [vars(r) for r in sorted(found, key=lambda r: r.offset_start)]
 
 
-def _in_section(headings: list[tuple[int, int, str]], at: int, config: WikiConfig) -> bool:
-    """Whether a heading above ``at``, or one that it stands under, names a reference section."""
-    level = 7
-    for start, depth, title in reversed(headings):
-        if start < at and depth < level:
-            if title in config.sections:
-                return True
-            level = depth
-    return False
+def _short_name(text: str, template: Template) -> str:
+    """A template's name in small letters, up to markup within it."""
+    start, end = template.named
+    nested = text.find("{", start, end)
+    return template_name(text[start : end if nested < 0 else nested + 1]).lower()
+
+
+def _sections(text: str, config: WikiConfig) -> tuple[list[int], list[bool]]:
+    """Where headings stand, and whether each, or one that it stands under, names a reference section."""
+    starts: list[int] = []
+    flags: list[bool] = []
+    open_: list[tuple[int, bool]] = []
+    for m in _HEADING.finditer(text):
+        line = m[0].rstrip()
+        lead, tail = len(line) - len(line.lstrip("=")), len(line) - len(line.rstrip("="))
+        depth = min(lead, tail, 6, (len(line) - 1) // 2)
+        if depth < 1:
+            continue
+        while open_ and open_[-1][0] >= depth:
+            open_.pop()
+        named = line[depth : len(line) - depth].strip().lower() in config.sections or bool(open_ and open_[-1][1])
+        open_.append((depth, named))
+        starts.append(m.start())
+        flags.append(named)
+    return starts, flags
 
 
 def nth_offset(text: str, part: str, n: int) -> int:
@@ -398,11 +513,13 @@ def nth_offset(text: str, part: str, n: int) -> int:
     return at
 
 
-def template_offset(normalized: str, name: str, place: int, full_text: str, otherwise: int | None) -> int:
+def template_offset(normalized: str, name: str, place: int, full_text: str, otherwise: int | None, seen: dict[str, list[int]] | None = None) -> int:
     """Where a template stands in its normalised reference: the ``place``-th of its
     name, ``place`` being its number among all templates; else its text as it
-    was; else the reference's own offset."""
-    at = nth_offset(normalized, "{{" + name, place)
-    if at < 0:
-        at = normalized.find(full_text)
+    was; else the reference's own offset.  ``seen`` keeps a reference's names' places
+    from one of its templates to the next."""
+    seen = {} if seen is None else seen
+    if name not in seen:
+        seen[name] = [m.start() for m in re.finditer(f"(?={re.escape('{{' + name)})", normalized)]
+    at = seen[name][place - 1] if place <= len(seen[name]) else normalized.find(full_text)
     return at if at >= 0 else otherwise or 0
