@@ -2,51 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a run of anything but space, tab, newline, vertical tab, form feed, return.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it.
-
-    Only a session without ``spark.checkpoint.dir`` (tests, one machine) gets a
-    temporary folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="palimpsest-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ..sources.storage import cut, scratch
 
+__all__ = ["CHUNK", "WORD", "Memo", "arrow_schema", "cut", "fold", "map_rows", "scratch", "slices"]
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there,
-    lost executors cost no recomputation, and the files go when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _delete_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    def delete() -> None:
-        try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the JVM may be gone already; the folder's owner cleans up then
-            pass
-
-    atexit.register(delete)
+#: A word is a run of anything but space, tab, newline, vertical tab, form feed, return.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -55,16 +25,26 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
 
 
-#: Rows that a Python worker turns into objects at a time.
-CHUNK = 512
+#: Rows, and bytes of texts, that a Python worker turns into objects at a time.
+CHUNK, CHUNK_BYTES = 512, 4 << 20
 _WORKER: dict = {}
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of CHUNK rows, so that few rows become objects at once."""
+    """The batches in parts of at most CHUNK rows and CHUNK_BYTES of texts (a longer text
+    is a part of its own), so that little becomes objects at once."""
     for batch in batches:
-        for i in range(0, batch.num_rows, CHUNK):
-            yield batch.slice(i, CHUNK)
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        at = 0
+        while at < batch.num_rows:
+            stop = int(np.searchsorted(upto, upto[at] + CHUNK_BYTES, "right")) - 1
+            stop = min(max(stop, at + 1), at + CHUNK, batch.num_rows)
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def map_rows(
