@@ -2,6 +2,8 @@
 
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,13 +48,13 @@ def test_votes_carry_a_weak_page(spark):
     assert got[8] == "tiny" and got[9] == "own" and got[0].startswith("long text")
 
 
-@pytest.mark.parametrize("rows", [200_000, 0])
-def test_awkward_pages(spark, rows):
+@pytest.mark.parametrize("size", [64 << 20, 0])
+def test_awkward_pages(spark, size):
     data = [(1, None, "<p>a"), (1, None, "<p>a"), (None, "no url", None), (2, "http://h/x", ""), (3, "http://h/y", "<p>" + "w " * 50_000)]
     df = spark.createDataFrame(data, "page_id bigint, url string, html string")
     for name in ("host", "text", "paths", "k", "h", "salt"):
         df = df.withColumn(name, F.lit("clash"))
-    got = sorted(repr((r.page_id, r.url, r.text[:5], r.n_chars)) for r in extract_pages(df, broadcast_rows=rows).collect())
+    got = sorted(repr((r.page_id, r.url, r.text[:5], r.n_chars)) for r in extract_pages(df, broadcast_bytes=size).collect())
     expected = [(1, None, "a", 1), (1, None, "a", 1), (None, "no url", "", 0), (2, "http://h/x", "", 0), (3, "http://h/y", "w w w", 99_999)]
     assert got == sorted(map(repr, expected))
     assert extract_pages(df.limit(0)).count() == 0
@@ -90,3 +92,57 @@ def test_parts_and_titles_stay_with_the_article(page, text):
     page, text = page.format(a=a, b=b), text.format(a=a, b=b)
     assert extract(page, [])[0] == text
     assert extract(page, [vote(page)[0]])[0] == text
+
+
+def test_a_large_host_is_treated_as_a_small_one(spark):
+    """Pages of another kind on the same host, twenty or 1,200, change nothing for these three."""
+    story = "<body><div class='strange'><p>{0}</p></div><div class='list'><p>{1}</p></div></body>"
+    other = "<body><div class='item{0}'><p>{1}</p></div></body>"
+    kept = []
+    for n in (20, 1_200):
+        rows = [(i, "http://h.example/a", story.format(f"tale {i} " * 30, f"links {i}")) for i in range(2)]
+        rows.append((2, "http://h.example/b", story.format("real", "links to other things that are longer " * 9)))
+        rows += [(100 + i, "http://h.example/c", other.format(i, f"thing {i} " * 20)) for i in range(n)]
+        got = extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).where("page_id < 3")
+        kept.append({r.page_id: r.text for r in got.collect()})
+    assert kept[0] == kept[1] and kept[0][2] == "real"
+
+
+def test_text_that_stays_the_same_beside_different_articles_goes(spark):
+    page = "<body><div class='wrap'><h1>Title {0}</h1><div class='zq9'>{1}</div><div class='lede'>{2}</div><div class='b7'>{3}</div></div></body>"
+    rows = [(i, "http://h.example/", page.format(i, f"Buy {'this' if i % 2 else 'that'} now", f"Lede {i}.", f"word{i} " * 40)) for i in range(12)]
+    # The same article on many pages is no evidence against itself.
+    rows += [(100 + i, "http://copies.example/", page.format(7, "Buy this now", "Lede 7.", "word7 " * 40)) for i in range(9)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i] == f"Title {i}\nLede {i}.\n" + " ".join([f"word{i}"] * 40)
+    assert {got[100 + i] for i in range(9)} == {"Title 7\nBuy this now\nLede 7.\n" + " ".join(["word7"] * 40)}
+
+
+def test_more_layouts():
+    assert extract("<body><article class='related-post'>" + "x " * 300 + "</article><main><p>the story</main>", [])[0] == "the story"
+    assert extract("<article><section class='header-note'>kept</section><p>b</article>", [])[0] == "kept\nb"
+    assert extract("<article><div class='header-nav'>gone</div><p>b</article>", [])[0] == "b"
+    assert extract("<article><p title=\"a\" b\">x</p>y</article>", [])[0] == "x\ny"
+
+
+HOSTILE = {
+    "never closed": "<div>" * 200_000, "tags without end": "<a " * 300_000, "quotes without end": '<a b="' * 160_000, "signs in quotes": '<a b=">" ' * 110_000,
+    "items": "<li><ul>" + "<div>" * 90_000 + "<li></li>" * 40_000, "closed only": "<div>" * 100_000 + "</span></p>" * 40_000, "names": "".join(f"<div class='c{'x' * 60}q{chr(97 + i % 26)}'>t" for i in range(11_000)),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_time_and_memory_follow_length(name):
+    """A megabyte of each; a parser that looks back or ahead from each tag takes minutes or gigabytes."""
+    tracemalloc.start()
+    began = time.process_time()
+    vote(HOSTILE[name])
+    extract(HOSTILE[name], [])
+    used, peak = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert used < 40 and peak < 200e6  # tracing takes most of the time
+
+
+def test_paths_are_of_bounded_length():
+    assert len(vote("<div class='a'>" * 3_000 + "text")[0]) < 600
