@@ -93,3 +93,33 @@ def test_the_window_is_fitted_on_vectors_that_differ(spark, monkeypatch):
     monkeypatch.setattr(H, "fit", lambda sample, *rest: fitted.append(sample) or fit(sample, *rest))
     H.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
     assert len(fitted[0]) == len(np.unique(fitted[0], axis=0)) == 201
+
+
+def test_recall_well_beyond_the_sample(spark):
+    """Five times as many vectors as the window is fitted on, without any structure; queries that have no copy."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(5120, 24)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = found(spark.createDataFrame(rows, SCHEMA), sample=1024)
+    exact = brute(rows)
+    assert set(got) == set(exact) and all(len(v) == 10 for v in got.values())
+    assert np.mean([len({j for _, j in exact[q]} & {j for _, j in got[q]}) / 10 for q in exact]) >= 0.9
+
+
+def test_structure_narrows_the_windows():
+    """Points near a line are found in small windows, points without structure only in large ones."""
+    rng = np.random.default_rng(9)
+    line = rng.uniform(-50, 50, (2000, 1)) * rng.normal(size=(1, 16)) + rng.normal(size=(2000, 16)) * 0.01
+    narrow, wide = (H.fit(x, H.Params(), 10, asked=10**6) for x in (line, rng.normal(size=(2000, 64))))
+    assert narrow.window < 0.02 < 0.05 < wide.window
+    assert H.Params().least <= len(narrow.shifts) <= H.Params().curves and len(narrow.directions[0]) == len(narrow.shifts) * H.Params().dims
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=2 + i % 3).astype(np.float32).tolist()) for i in range(600)]
+    got = found(spark.createDataFrame(rows, SCHEMA))
+    exact = {}
+    for n in (2, 3, 4):
+        exact |= brute([r for r in rows if len(r[1]) == n])
+    assert got == exact
