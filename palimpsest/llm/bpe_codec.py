@@ -10,8 +10,9 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import sys
 import unicodedata
-from typing import NamedTuple
+from array import array
 
 import regex
 from pyspark.sql import DataFrame
@@ -28,21 +29,23 @@ LAST = b"\xff"
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
 
-class Encoded(NamedTuple):
-    """Identifiers as little-endian unsigned 32-bit integers, and their tokens joined by spaces."""
+#: First and last of the combining marks that came after Unicode 9, which the
+#: tokenizer library's normal form takes for letters of their own; and a vowel sign that it
+#: does not compose.
+LATER_MARKS = (
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA), (0x1715, 0x1715),
+    (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC), (0x10EFD, 0x10EFF), (0x10F46, 0x10F50),
+    (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B), (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E),
+    (0x11943, 0x11943), (0x119E0, 0x119E0), (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45),
+    (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF),
+    (0x1E4EC, 0x1E4EF),
+)
+_LATER = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER_MARKS) + "]+)")
 
-    ids: bytes
-    tokens: str
 
-
-#: What the memos hold: as Encoded, but a tuple that the garbage collector lets alone.
-Part = tuple[bytes, str]
-
-
-def _joined(parts: list[Part]) -> Part:
-    if len(parts) == 1:
-        return parts[0]
-    return b"".join([ids for ids, _ in parts]), " ".join([tokens for _, tokens in parts])
+def composed(text: str) -> str:
+    """The normal form NFC by the tables of Unicode 9: later marks part what stands around them."""
+    return "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(_LATER.split(text))])
 
 
 class WordCodec:
@@ -77,7 +80,7 @@ class WordCodec:
                 start = i
         return [*out, word[start:]]
 
-    def _fragment(self, key: bytes) -> Part:
+    def _fragment(self, key: bytes) -> bytes:
         """``key``: a fragment's bytes, and LAST after them if it ends its word."""
         last = key.endswith(LAST)
         fragment = key[:-1] if last else key
@@ -88,52 +91,47 @@ class WordCodec:
             ids = merge_short(symbols, self.pairs)
         else:
             ids = [s for s in merge(symbols, self.ranks)[0] if s >= 0]
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids])
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> Part:
+    def _word(self, word: str) -> bytes:
         parts = self.cuts(word.encode())
         parts[-1] += LAST
-        return _joined([self.fragments[p] if len(p) < 64 else self._fragment(p) for p in parts])
+        return b"".join([self.fragments[p] if len(p) < 64 else self._fragment(p) for p in parts])
 
-    def _chunk(self, chunk: str) -> Part:
+    def _chunk(self, chunk: str) -> bytes:
         if chunk.isascii():
             lowered = chunk.lower()
         else:
             # The library lowers letter by letter, without the rule for a final sigma.
-            lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").translate(SMALL).lower()
+            lowered = composed(chunk).replace("Σ", "σ").translate(SMALL).lower()
         if lowered.isalpha():
             words = [lowered]
         elif lowered.isascii():
             words = _WORDS.findall(lowered)
         else:
             words = [lowered[m.start() : m.end()] for m in _WORDS.finditer(shadow(lowered))]
-        return _joined([self.words[w] if len(w) < 64 else self._word(w) for w in words])
+        return b"".join([self.words[w] if len(w) < 64 else self._word(w) for w in words])
 
-    def _plain(self, text: str) -> list[Part]:
+    def _plain(self, text: str) -> bytes:
         chunks = self.chunks
-        return [chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text)]
+        return b"".join([chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text)])
 
-    def encode(self, text: str | None) -> Encoded:
-        """The whole of ``text``; null is empty.  Special strings become their tokens."""
+    def encode(self, text: str | None) -> bytes:
+        """Identifiers of the whole of ``text``, little-endian unsigned 32-bit integers; null is
+        empty.  Special strings become their tokens."""
         if not text:
-            return Encoded(b"", "")
+            return b""
         if self.split is None or not self.split.search(text):
-            got = self._plain(text)
-        else:
-            got = []
-            for part in self.split.split(text):
-                if part in self.specials:
-                    got.append((struct.pack("<I", self.specials[part]), part))
-                else:
-                    got += self._plain(part)
-        if not got:
-            return Encoded(b"", "")
-        ids, tokens = zip(*got)
-        return Encoded(b"".join(ids), " ".join(filter(None, tokens)))
+            return self._plain(text)
+        return b"".join([struct.pack("<I", self.specials[part]) if part in self.specials else self._plain(part) for part in self.split.split(text)])
 
     def decode(self, ids: bytes) -> str:
-        """Tokens of ``ids`` joined by spaces: the file names no decoder of its own."""
-        return " ".join([self.token[i] for (i,) in struct.iter_unpack("<I", ids) if i in self.token])
+        """Tokens of ``ids`` joined by spaces: the file names no decoder of its own.  Unknown
+        identifiers stand for nothing."""
+        got = array("I", ids)
+        if sys.byteorder != "little":
+            got.byteswap()
+        return " ".join([t for t in map(self.token.get, got) if t is not None])
 
 
 def encode_table(
@@ -150,14 +148,10 @@ def encode_table(
     table = docs.sparkSession.sparkContext.broadcast(MergeTable.from_file(tokenizer))
 
     def encoded(codec: WordCodec, keys: list, texts: list) -> tuple:
-        got = [codec.encode(t) for t in texts]
-        out = [
-            keys,
-            [len(e.ids) // 4 for e in got],
-            [hashlib.sha256(e.ids).hexdigest() for e in got],
-            [hashlib.sha256(e.tokens.encode()).hexdigest() for e in got],
-        ]
-        return (*out, [e.ids for e in got], [e.tokens for e in got]) if payload else tuple(out)
+        ids = [codec.encode(t) for t in texts]
+        decoded = [codec.decode(i) for i in ids]
+        out = (keys, [len(i) // 4 for i in ids], [hashlib.sha256(i).hexdigest() for i in ids], [hashlib.sha256(t.encode()).hexdigest() for t in decoded])
+        return (*out, ids, decoded) if payload else out
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"k {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * payload

@@ -2,6 +2,7 @@
 
 import hashlib
 import struct
+import unicodedata
 
 import public_tokenizers as P
 import pytest
@@ -39,9 +40,34 @@ def test_count_equals_library(text):
 def test_codec_equals_library(text):
     expected = ids(WORDS, text)
     got = CODEC.encode(text)
-    assert list(struct.unpack(f"<{len(got.ids) // 4}I", got.ids)) == expected
-    decoded = LIBRARY[WORDS].decode(expected, skip_special_tokens=False)
-    assert got.tokens == decoded == CODEC.decode(got.ids)
+    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == expected
+    assert CODEC.decode(got) == LIBRARY[WORDS].decode(expected, skip_special_tokens=False)
+
+
+MARKS = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c))]
+
+
+def test_every_mark_is_ordered_as_the_library_does():
+    """Each mark beside marks of higher and lower classes, and beside itself."""
+    for mark in MARKS:
+        for text in (f"q\u0345{mark}", f"a{mark}\u0334\u0301", f"a\u0301{mark}\u0323e{mark}\u0301"):
+            got = CODEC.encode(text)
+            assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids(WORDS, text), hex(ord(mark))
+
+
+def test_every_letter_that_composes_does_as_in_the_library():
+    for c in map(chr, range(0x110000)):
+        if unicodedata.normalize("NFD", c) != c:
+            text = unicodedata.normalize("NFD", c)
+            got = CODEC.encode(text)
+            assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids(WORDS, text), hex(ord(c))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(MARKS), st.sampled_from("aeoEÅ ñ\u0345\u0334")), max_size=12).map("".join))
+def test_runs_of_marks(text):
+    got = CODEC.encode(text)
+    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids(WORDS, text)
 
 
 @given(st.lists(st.sampled_from(b"abcdeth "), max_size=60))
