@@ -3,409 +3,369 @@
 The tree's states are contexts of words, of any number and length: every context
 above a count floor whose shorter suffix is a state is tested for divergence from
 it.  A state's next-word distribution is smoothed by its suffix's, the root's being
-the unigram base.  Contexts are counted, tested and kept as Spark rows; a text is
-scored by the longest suffix states, whose terms the tasks hold for the commonest
-and find by a join for all others.  Word counts likewise.
+the unigram base.  Texts are encoded once as hashes of their words; contexts are
+counted, tested and kept as Spark rows; a text is scored by the longest suffix
+states, whose terms the tasks hold for the commonest and find by a join for all
+others.  Word counts likewise.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from .common import Memo, cut, fold, slices
+from .common import cut, fold, slices
 
-#: Stand for the end and the start of a text; no word holds a space.
-END, START = b" ", b"  "
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Bits of the filters of contexts; their size is fixed, and what they let through in error
-#: goes at the exact joins after them.
-_FILTER_BITS = 26
+#: Hashes that stand for the end and the start of a text; words have those of ``word_keys``.
+END, START = 0x452821E638D01377, 0x13198A2E03707344
+#: A context's hash is a polynomial of its words' hashes in this base, the last word's first.
+_BASE = 0xD6E8FEB86659FD93
+_UNBASE = pow(_BASE, -1, 1 << 64)
+#: Bits of a filter: sixteen an entry, between these; what it lets through in error goes at
+#: the exact joins after it.
+_LEAST_BITS, _MOST_BITS = 1 << 16, 1 << 28
 #: Parts that a context's followers are dealt into where they meet what is known of it.
 SALTS = 8
+#: Contexts, of forty bytes or less, that go to every task.
+_FEW = 500_000
+#: Words that a task works on at a time, and pairs that it gathers before it counts them.
+_WORDS, _PAIRS = 1 << 19, 1 << 21
 
 
 @dataclass(frozen=True)
 class Params:
-    """``counted`` words and ``terms`` of states are held by the tasks; all others are joined.
-    ``least``, ``divergence`` and ``prior`` make the states.  ``words`` + ``classes`` symbols
-    and ``states`` contexts of two bound the fixed tree of ``grow``, which ``score`` does not use."""
-
-    words: int = 384
-    classes: int = 128
-    states: int = 2048
-    counted: int = 65_536
-    least: int = 400
+    """``least``: occurrences of a context that is tested.  ``follow``: occurrences from which
+    on a word after a context has a probability of its own there; that of the others is the
+    suffix's, scaled.  A context is a state if it diverges from its suffix by ``divergence``
+    or more and the gain in likelihood is beyond chance: twice that is as much as what as many
+    free parameters give by chance, and ``deviations`` standard deviations more.  ``prior``
+    smooths the states.  ``counted`` words and ``terms`` of states are held by the tasks; all
+    others are joined."""
+
+    counted: int = 1_000_000
+    least: int = 50
+    follow: int = 8
     divergence: float = 0.01
+    deviations: float = 5.0
     prior: float = 100.0
     terms: int = 2_000_000
 
-    @property
-    def symbols(self) -> int:
-        return self.words + self.classes
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """Words with A-Z lowered; a null text has none."""
-    return (text or "").encode().lower().split()
-
-
-def word_key(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
-
-
-def word_class(word: bytes, classes: int) -> int:
-    return xxhash.xxh3_64_intdigest(word[:2] + b" " + word[-2:]) % classes
-
-
-class Symbols:
-    """Symbol numbers of words: a place among the commonest, or a class after them."""
-
-    def __init__(self, common: dict[int, int], params: Params, memo: int = 300_000) -> None:
-        self.common, self.params = common, params
-        self.of_word = Memo(self._find, memo)
-
-    def _find(self, word: bytes) -> int:
-        found = self.common.get(word_key(word))
-        return self.params.words + word_class(word, self.params.classes) if found is None else found
-
-    def of(self, lists: list[list[bytes]], n: int) -> np.ndarray:
-        """Symbols of ``n`` words in all."""
-        return np.fromiter(map(self.of_word.__getitem__, chain.from_iterable(lists)), np.int32, n)
-
-
-class Words:
-    """Numbers for words, with the key, the log10 probability if it is held here, and the symbol
-    of each number.  Full, it starts afresh between two slices of texts."""
-
-    def __init__(self, symbols: Symbols, held: dict[int, int], whole: float, most: int = 300_000) -> None:
-        self.symbols, self.held, self.whole, self.most = symbols, held, whole, most
-        self.fresh()
-
-    def fresh(self) -> None:
-        self.numbers = Memo(self._number, 1 << 62)
-        self.keys, self.logs, self.kinds = array("q"), array("d"), array("i")
-
-    def _number(self, word: bytes) -> int:
-        key = word_key(word)
-        n = self.held.get(key)
-        self.keys.append(key)
-        self.logs.append(np.nan if n is None else math.log10((n + 0.1) / self.whole))
-        self.kinds.append(self.symbols._find(word))
-        return len(self.keys) - 1
-
-    def of(self, lists: list[list[bytes]], n: int) -> np.ndarray:
-        if len(self.keys) > self.most:
-            self.fresh()
-        return np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, n)
-
-
-def word_lists(texts: list) -> tuple[list[list[bytes]], np.ndarray]:
-    """Each text's words and its end, and where each text starts and the last one ends."""
-    lists = [tokens(t) for t in texts]
-    for words in lists:
-        words.append(END)
-    return lists, np.concatenate([[0], np.cumsum([len(w) for w in lists], dtype=np.int64)])
-
-
-def contexts(symbols: np.ndarray, starts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols one and two places before each, ``start`` before a text."""
-    last, before = np.roll(symbols, 1), np.roll(symbols, 2)
-    last[starts[:-1]] = start
-    before[starts[:-1]] = start
-    second = starts[:-1] + 1
-    before[second[second < starts[1:]]] = start
-    return last, before
 
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTERS = np.random.default_rng(7).integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_LETTERS[65:91] = _LETTERS[97:123]
+_STEP = 0xD1342543DE82EF95
+#: Bytes that are hashed at a time.
+_WINDOW = 1 << 18
+
+
+@cache
+def _steps() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _STEP, and their inverses, modulo 2 ** 64."""
+    ups, downs = np.full(_WINDOW + 1, _STEP, np.uint64), np.full(_WINDOW + 1, pow(_STEP, -1, 1 << 64), np.uint64)
+    ups[0] = downs[0] = 1
+    return np.multiply.accumulate(ups), np.multiply.accumulate(downs)
+
+
+def word_keys(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, how many of them each text has): the texts are the bytes ``data``
+    between ``cuts``.  Words are the runs of anything but white space, with A-Z lowered; a hash
+    is a polynomial of their letters, summed up once for all words of a stretch."""
+    space = _IS_SPACE[data]
+    edge = np.ones(len(data) + 1, bool)
+    edge[1:-1] = space[1:] | space[:-1]
+    edge[cuts] = True
+    starts = np.flatnonzero(edge[:-1] & ~space)
+    ends = np.flatnonzero(edge[1:] & ~space) + 1
+    ups, downs = _steps()
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        first = int(starts[i])
+        j = int(np.searchsorted(ends, first + _WINDOW, "right"))
+        if j > i:
+            sums = np.zeros(int(ends[j - 1]) - first + 1, np.uint64)
+            np.cumsum(_LETTERS[data[first : ends[j - 1]]] * ups[: len(sums) - 1], out=sums[1:])
+            at = starts[i:j] - first
+            out[i:j] = (sums[ends[i:j] - first] - sums[at]) * downs[at]
+        else:  # a word longer than a stretch
+            j, total = i + 1, 0
+            for k in range(int(ends[i]) - 1, first - 1, -_WINDOW):
+                part = data[max(first, k - _WINDOW + 1) : k + 1]
+                total = (total * pow(_STEP, len(part), 1 << 64) + int((_LETTERS[part] * ups[: len(part)]).sum(dtype=np.uint64))) % (1 << 64)
+            out[i] = total
+        i = j
+    out = (out ^ (out >> np.uint64(32))) * _MIX
+    return out ^ (out >> np.uint64(29)), np.diff(np.searchsorted(starts, cuts))
+
+
+class Table:
+    """Values of distinct 64-bit keys, for many at once.  A key stands at its slot or in the
+    next free place after it; no key is 0."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        keys = keys.view(np.uint64)
+        self.shift = np.uint64(63 - max(4, len(keys).bit_length()))
+        slot = (keys * _MIX >> self.shift).astype(np.int64)
+        order, place = np.argsort(slot, kind="stable"), np.arange(len(keys))
+        at = np.maximum.accumulate(slot[order] - place) + place
+        size = max(1 << (64 - int(self.shift)), at[-1] + 1 if len(at) else 0) + 1
+        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, values.dtype)
+        self.keys[at], self.values[at] = keys[order], values[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 if it is not there."""
+        out, rest = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        at = (keys * _MIX >> self.shift).astype(np.int64)
+        while len(rest):
+            there = self.keys[at]
+            hit = there == keys
+            out[rest[hit]] = at[hit]
+            on = ~hit & (there != 0)
+            rest, at, keys = rest[on], at[on] + 1, keys[on]
+        return out
+
+
+class Filter:
+    """Which 64-bit keys may be in a set; its size follows the set's, up to a bound."""
+
+    def __init__(self, keys: DataFrame | None = None, column: str = "c") -> None:
+        if keys is None:
+            self.bits, self.shift = np.zeros(_LEAST_BITS // 64, np.uint64), np.uint64(64 - _LEAST_BITS.bit_length() + 1)
+            return
+        size = 1 << max(_LEAST_BITS.bit_length() - 1, min(_MOST_BITS.bit_length() - 1, (16 * keys.count()).bit_length()))
+        self.shift = np.uint64(64 - size.bit_length() + 1)
+        slot = F.shiftrightunsigned(column, int(self.shift))
+        words = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
+        bits = np.zeros(size // 64, np.int64)
+        bits[words["w"].to_numpy()] = words["bits"].to_numpy()
+        self.bits = bits.view(np.uint64)
 
-@dataclass
-class Tree:
-    """state_of[before, last]: state after two symbols (``symbols`` stands for the start);
-    gain[state, symbol]: log10 of its probability there over that of the base."""
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> self.shift
+        return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-    state_of: np.ndarray
-    gain: np.ndarray
 
-    def adjust(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """What each text gains over the base."""
-        last, before = contexts(symbols, starts, self.state_of.shape[0] - 1)
-        return np.add.reduceat(self.gain[self.state_of[before, last], symbols].astype(np.float64), starts[:-1])
+def longer(context: np.ndarray, word: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of contexts with one more word before their first, ``depth`` words then."""
+    return context + word * np.uint64(pow(_BASE, depth - 1, 1 << 64))
 
 
-def word_counts(docs: DataFrame, params: Params) -> DataFrame:
-    """(key, class, n): occurrences of each word, and of the end, in all of ``docs``."""
+def followed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of contexts with the word after them, as keys of terms."""
+    h = (~context * _MIX ^ word) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ (h >> np.uint64(29))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
 
-        def give() -> pa.RecordBatch:
-            words = list(counts)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([word_key(w) for w in words], pa.int64()), pa.array([word_class(w, params.classes) for w in words], pa.int16()), pa.array(list(counts.values()), pa.int64())],
-                names=["key", "class", "n"],
-            )
-            counts.clear()
-            return out
+def encoded(rows: DataFrame) -> DataFrame:
+    """(k, f, u, w) of rows (k, t, f): a number of its own for each row, and the hashes, of eight
+    bytes each, of the text's words between those of a start and an end."""
+    kind = rows.schema["k"].dataType.simpleString()
 
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            for t in batch["t"].to_pylist():
-                counts.update(tokens(t))
-                counts[END] += 1
-                if len(counts) > 600_000:
-                    yield give()
-        yield give()
-
-    return docs.select("t").mapInArrow(counted, "key bigint, class smallint, n bigint").groupBy("key", "class").agg(F.sum("n").alias("n"))
-
-
-def _dense_counts(docs: DataFrame, common: dict[int, int], params: Params, codes: Callable, size: int) -> np.ndarray:
-    """Counts of the codes 0 to ``size`` - 1, fixed in number, that ``codes`` gives for the
-    symbols of texts and the symbols before them."""
+            texts = pc.fill_null(batch["t"].cast(pa.string()), "")
+            cuts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
+            keys, counts = word_keys(data, cuts - cuts[0])
+            ends = np.concatenate([[0], np.cumsum(counts + 2)])
+            words = np.empty(ends[-1], np.uint64)
+            words[np.arange(len(keys)) + 2 * np.repeat(np.arange(len(counts)), counts) + 1] = keys
+            words[ends[:-1]], words[ends[1:] - 1] = START, END
+            w = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer((ends * 8).astype(np.int32)), pa.py_buffer(words)])
+            yield pa.RecordBatch.from_arrays([batch["k"], batch["f"], w], names=["k", "f", "w"])
+
+    texts = rows.select("k", "t", "f").mapInArrow(made, f"k {kind}, f int, w binary")
+    return cut(texts.withColumn("u", F.monotonically_increasing_id()), "lm-texts")
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, words, starts): encoded texts in parts of so many words, and where each text starts
+    and the last one ends."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        w = batch["w"].cast(pa.binary())
+        cuts = np.frombuffer(w.buffers()[1], np.int32)[w.offset : w.offset + len(w) + 1].astype(np.int64) // 8
+        words = np.frombuffer(w.buffers()[2] or b"", np.uint64, int(cuts[-1]))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(cuts, cuts[at] + _WORDS, "right")) - 1)
+            yield batch.slice(at, stop - at), words[cuts[at] : cuts[stop]], cuts[at : stop + 1] - cuts[at]
+            at = stop
+
+
+def _places(starts: np.ndarray) -> np.ndarray:
+    """The place of each word in its text."""
+    return np.arange(starts[-1]) - np.repeat(starts[:-1], np.diff(starts))
+
+
+def _counted(texts: DataFrame, found: Callable) -> DataFrame:
+    """(kind, a, b, n): how often each pair occurs that ``found`` gives, by kinds, for words and
+    their places; a task counts its own before they are shuffled."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, total = Symbols(common, params), np.zeros(size, np.int64)
-        for batch in slices(batches):
-            lists, starts = word_lists(batch["t"].to_pylist())
-            s = state.of(lists, starts[-1])
-            total += np.bincount(codes(s, *contexts(s, starts, params.symbols)), minlength=size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
-
-    got = docs.select("t").mapInArrow(counted, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size, np.int64)
-    out[got["code"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
-def _keeps(counts: np.ndarray, parent: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """(distributions smoothed by the parents', whether each diverges enough to be a state)."""
-    n = counts.sum(axis=1, keepdims=True)
-    p = (counts + params.prior * parent) / (n + params.prior)
-    divergence = (p * np.log(p / parent)).sum(axis=1)
-    n = n[:, 0]
-    # The last: twice the gain in likelihood against as many free parameters.
-    return p, (n >= params.least) & (divergence >= params.divergence) & (2 * n * divergence >= counts.shape[1])
-
-
-def grow(docs: DataFrame, common: dict[int, int], base: np.ndarray, params: Params) -> Tree:
-    """The tree of the training ``docs``; ``base`` are the symbols' shares in the base."""
-    a = params.symbols
-    root = base / base.sum()
-
-    def pairs(s: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
-        return last.astype(np.int64) * a + s
-
-    counts = _dense_counts(docs, common, params, pairs, (a + 1) * a).reshape(a + 1, a)
-    first, kept = _keeps(counts, root[None, :], params)
-    heavy = np.where(kept[None, :a], counts, 0)  # contexts of two: their later symbol is a state
-    order = np.argsort(-heavy, axis=None, kind="stable")[: params.states]
-    chosen = order[heavy.ravel()[order] >= params.least]
-    number = np.full((a + 1) * (a + 1), -1, np.int32)
-    number[chosen // a * (a + 1) + chosen % a] = np.arange(len(chosen))
-
-    def triples(s: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
-        at = number[before.astype(np.int64) * (a + 1) + last]
-        return (at.astype(np.int64) * a + s)[at >= 0]
-
-    state_of = np.zeros((a + 1, a + 1), np.int32)
-    gains = [np.log10(root / base)[None, :]]
-    singles = np.flatnonzero(kept)
-    state_of[:, singles] = np.arange(1, len(singles) + 1)
-    gains.append(np.log10(first[singles] / base))
-    if len(chosen):
-        deep = _dense_counts(docs, common, params, triples, len(chosen) * a).reshape(-1, a)
-        second, kept2 = _keeps(deep, first[chosen % a], params)
-        doubles = np.flatnonzero(kept2)
-        state_of[chosen[doubles] // a, chosen[doubles] % a] = np.arange(len(doubles)) + 1 + len(singles)
-        gains.append(np.log10(second[doubles] / base))
-    return Tree(state_of, np.concatenate(gains).astype(np.float32))
-
-
-def longer(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of contexts with one more word before them."""
-    h = (context ^ word) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
-def followed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of contexts with the word after them."""
-    return longer(~context * np.uint64(0xD6E8FEB86659FD93), word)
-
-
-def _filter(contexts: DataFrame) -> np.ndarray:
-    slot = F.shiftrightunsigned("c", 64 - _FILTER_BITS)
-    words = contexts.select(slot.alias("s")).groupBy((F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
-    bits = np.zeros(1 << (_FILTER_BITS - 6), np.int64)
-    bits[words["w"].to_numpy()] = words["bits"].to_numpy()
-    return bits.view(np.uint64)
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = []
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for kind, pairs in enumerate(zip(*held)):
+                a, b = (np.concatenate(x) for x in zip(*pairs))
+                z = followed(a, b)
+                order = np.argsort(z)
+                z = z[order]
+                first = np.flatnonzero(np.diff(z, prepend=~z[:1]))
+                n, first = np.diff(first, append=len(z)), order[first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), kind, np.int8)), pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "a", "b", "n"]
+                )
+            held.clear()
 
+        gathered = 0
+        for _, words, starts in _sequences(batches):
+            held.append(found(words, _places(starts)))
+            gathered += sum(len(a) for a, _ in held[-1])
+            if gathered > _PAIRS:
+                yield from give()
+                gathered = 0
+        yield from give()
 
-def _passes(bits: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    slot = contexts >> np.uint64(64 - _FILTER_BITS)
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return texts.select("w").mapInArrow(counted, "kind tinyint, a bigint, b bigint, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, place in its text, row) of all words of the encoded texts, starts and ends among them."""
-    texts = batch["w"].to_pylist()
-    lengths = np.array([len(t) // 8 for t in texts], np.int64)
-    words = np.frombuffer(b"".join(texts), np.uint64)
-    return words, np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths), np.repeat(np.arange(len(texts)), lengths)
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(key, n): occurrences of each word, and of the end, in encoded texts."""
+    found = lambda words, place: [(np.zeros(int((place > 0).sum()), np.uint64), words[place > 0])]
+    return _counted(texts, found).select(F.col("b").alias("key"), "n")
 
 
-def _walk(words: np.ndarray, place: np.ndarray, kept: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, context of ``depth`` words, its suffix) where all suffixes pass the filter ``kept``."""
+def _walk(words: np.ndarray, place: np.ndarray, kept: list[Filter], depth: int, pairs: Filter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, context of ``depth`` words before it, its suffix) where all suffixes pass the
+    filters of the states of their lengths, and the context's first two words that of ``pairs``."""
     at = np.flatnonzero(place >= depth)
     context = suffix = np.zeros(len(at), np.uint64)
     for d in range(1, depth + 1):
         if d > 1:
-            inside = _passes(kept, context)
+            inside = kept[d - 2].passes(context)
+            at, context = at[inside], context[inside]
+        if d == depth and pairs is not None:
+            inside = pairs.passes(longer(words[at - d + 1], words[at - d], 2))
             at, context = at[inside], context[inside]
-        suffix, context = context, longer(context, words[at - d])
+        suffix, context = context, longer(context, words[at - d], d)
     return at, context, suffix
 
 
-def _counted_pairs(texts: DataFrame, names: tuple[str, str], found: Callable) -> DataFrame:
-    """How often each pair occurs that ``found`` gives for the words and places of texts."""
+@F.pandas_udf(LongType())
+def _ahead(context: pd.Series, word: pd.Series) -> pd.Series:
+    """The context that ends in ``word`` after ``context``."""
+    return pd.Series((context.to_numpy(np.int64).view(np.uint64) * np.uint64(_BASE) + word.to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def give() -> pa.RecordBatch:
-            a, b = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*held) if held else ((), ())))
-            _, first, n = np.unique(followed(a, b), return_index=True, return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
-        for batch in slices(batches):
-            words, place, _ = _sequences(batch)
-            held.append(found(words, place))
-            if sum(len(a) for a, _ in held) > 1_000_000:
-                yield give()
-        yield give()
+@F.pandas_udf(LongType())
+def _term(context: pd.Series, word: pd.Series) -> pd.Series:
+    return pd.Series(followed(context.to_numpy(np.int64).view(np.uint64), word.to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
-    return texts.select("w").mapInArrow(counted, f"{names[0]} bigint, {names[1]} bigint, n bigint").groupBy(*names).agg(F.sum("n").alias("n"))
 
+def _met(followers: DataFrame, contexts: DataFrame, few: bool) -> DataFrame:
+    """Followers beside what is known of their contexts, (c, ...): ``few`` of these go to every
+    task, many meet them in salts, as a context may have very many."""
+    if few:
+        return followers.join(F.broadcast(contexts), "c")
+    return followers.join(contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["c", "salt"])
 
-def _salted(contexts: DataFrame) -> DataFrame:
-    return contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
+def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """For contexts of one word, two and so on, until none is kept: (c, back) of the states, and
+    (c, x, n, lp, below, back) of their followers, lp and below being the logarithms of x's
+    probability there and at the suffix, back that of the scale of all other words'.
 
-def levels(texts: DataFrame, base: DataFrame, params: Params) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """For contexts of one word, two and so on, until none is kept: (c, total) of the states, and
-    (c, x, n, total, lp, below) of their followers, lp and below being the logarithms of x's
-    probability there and at the suffix.  ``base``: (x, below) of every word of ``texts``."""
+    ``words``: (key, n) of every word of the encoded ``texts``; ``whole``: the base's divisor.
+    """
     spark = texts.sparkSession
-    kept_bits = np.zeros(1 << (_FILTER_BITS - 6), np.uint64)
-    above, states, depth = base.withColumn("s", F.lit(0).cast("bigint")), None, 1
-    back = F.log(F.lit(params.prior) / (F.col("total") + params.prior))
+    started = texts.agg(_long(START).alias("key"), F.count("*").alias("n"))
+    heavy = words.where(F.col("key") != _long(END)).union(started).where(F.col("n") >= params.least)
+    heavy = cut(heavy.select(F.col("key").alias("c"), F.lit(0).cast("bigint").alias("s"), F.col("n").alias("total")), "lm-contexts")
+    above = words.select(F.lit(0).cast("bigint").alias("s"), F.col("key").alias("x"), F.log((F.col("n") + 0.1) / F.lit(whole)).alias("below"))
+    kept: list[Filter] = []
+    open_, pairs, tested_before, depth = None, None, None, 1
     while True:
-        kept = spark.sparkContext.broadcast(kept_bits)
-
-        def occurring(words: np.ndarray, place: np.ndarray, kept=kept, depth=depth) -> tuple[np.ndarray, np.ndarray]:
-            return _walk(words, place, kept.value, depth)[1:]
+        shared = spark.sparkContext.broadcast((kept, open_, pairs, tested_before, Filter(heavy)))
+
+        def following(words: np.ndarray, place: np.ndarray, shared=shared, depth=depth) -> list[tuple[np.ndarray, np.ndarray]]:
+            """Pairs of contexts and the words after them; and, from three words on, of contexts and
+            suffixes, of contexts that have not been counted yet: what precedes their last word was not tested."""
+            kept, open_, pairs, tested, known = shared.value
+            at, context, suffix = _walk(words, place, kept, depth, pairs)
+            inside = known.passes(context)
+            new = np.zeros(len(at), bool)
+            if depth > 2:
+                new = np.ones(len(at), bool) if tested is None else tested.find((context - words[at - 1]) * np.uint64(_UNBASE)) < 0
+            totals = (context[new], suffix[new])
+            inside |= new
+            at, context, suffix = at[inside], context[inside], suffix[inside]
+            if open_ is not None:
+                inside = open_.passes(followed(suffix, words[at]))
+                at, context = at[inside], context[inside]
+            return [(context, words[at]), totals]
 
-        heavy = _counted_pairs(texts, ("c", "s"), occurring).where(F.col("n") >= params.least)
-        if states is not None:
-            heavy = heavy.join(states.select(F.col("c").alias("s")), "s", "left_semi")
-        heavy = cut(heavy.select("c", "s", F.col("n").alias("total")), "lm-contexts")
+        counts = _counted(texts, following).where((F.col("kind") > 0) | (F.col("n") >= params.follow))
+        if depth > 2:
+            counts = cut(counts, "lm-counts")
+            own = counts.where((F.col("kind") == 1) & (F.col("n") >= params.least)).select(F.col("a").alias("c"), F.col("b").alias("s"), F.col("n").alias("total"))
+            heavy = cut(heavy.union(own.join(states.select(F.col("c").alias("s")), "s", "left_semi").select("c", "s", "total")).distinct(), "lm-contexts")
         if heavy.isEmpty():
             return
-        chosen = spark.sparkContext.broadcast(_filter(heavy))
-
-        def following(words: np.ndarray, place: np.ndarray, kept=kept, depth=depth, chosen=chosen) -> tuple[np.ndarray, np.ndarray]:
-            at, context, _ = _walk(words, place, kept.value, depth)
-            inside = _passes(chosen.value, context)
-            return context[inside], words[at[inside]]
-
-        followers = _counted_pairs(texts, ("c", "x"), following).withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int"))
-        p = (F.col("n") + params.prior * F.exp("below")) / (F.col("total") + params.prior)
-        seen = cut(followers.join(_salted(heavy), ["c", "salt"]).join(above, ["s", "x"]).select("c", "salt", "x", "n", "total", F.log(p).alias("lp"), "below"), "lm-followers")
-        # Followers not seen have the suffix's probability times exp(back).
-        tested = seen.groupBy("c").agg(
-            F.max("total").alias("total"), F.count("*").alias("seen"), F.sum(F.exp("lp") * (F.col("lp") - F.col("below"))).alias("gain"), F.sum(F.exp("below")).alias("covered")
+        followers = counts.where("kind = 0").select(F.col("a").alias("c"), F.col("b").alias("x"), "n")
+        followers = cut(followers.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int")), "lm-pairs")
+        own = followers.groupBy("c").agg(F.sum("n").alias("own"))
+        # What a state leaves to its suffix: the prior, and its rarer followers' share.
+        left = F.col("total") - F.coalesce("own", F.lit(0)) + params.prior
+        about = cut(heavy.join(own, "c", "left").withColumn("left", left), "lm-totals")
+        few = about.count() <= _FEW
+        p = (F.col("n") + F.col("left") * F.exp("below")) / (F.col("total") + params.prior)
+        seen = _met(followers, about, few).join(above, ["s", "x"])
+        seen = seen.select("c", "s", "salt", "x", "n", F.log(p).alias("lp"), "below", F.log(F.col("left") / (F.col("total") + params.prior)).alias("back"))
+        seen = cut(seen, "lm-followers")
+        sums = seen.groupBy("c").agg(
+            F.count("*").alias("seen"), F.sum(F.exp("lp") * (F.col("lp") - F.col("below"))).alias("gain"), F.sum(F.exp("below")).alias("covered"), F.max("back").alias("back")
         )
-        divergence = F.col("gain") + F.exp(back) * (1 - F.col("covered")) * back
-        # The last: twice the gain in likelihood against as many free parameters.
-        tested = tested.withColumn("d", divergence).where((F.col("d") >= params.divergence) & (2 * F.col("total") * F.col("d") >= F.col("seen")))
-        states = cut(tested.select("c", "total"), "lm-states")
+        divergence = F.col("gain") + F.exp("back") * (1 - F.col("covered")) * F.col("back")
+        chance = F.col("seen") + params.deviations * F.sqrt(2 * F.col("seen"))
+        tested = about.join(sums, "c").withColumn("d", divergence).where((F.col("d") >= params.divergence) & (2 * F.col("total") * F.col("d") >= chance))
+        states = cut(tested.select("c", "back"), "lm-states")
         if states.isEmpty():
             return
-        level = cut(seen.join(_salted(states.select("c")), ["c", "salt"], "left_semi").drop("salt"), "lm-level")
-        kept_bits = kept_bits | _filter(states)
+        level = cut(_met(seen, states.select("c"), few).drop("salt"), "lm-level")
+        kept = [*kept, Filter(states)]
         above = level.select(F.col("c").alias("s"), "x", F.col("lp").alias("below"))
+        yield states, level.drop("s")
+        # What does not follow a suffix often enough does not follow the context so.
+        open_ = Filter(followers.select(_term("c", "x").alias("c")))
+        tested_before = None
+        if (n := heavy.count()) <= params.terms:
+            tested_before = Table(heavy.select("c").toArrow()["c"].to_numpy(), np.zeros(n, bool))
+        # What follows a tested context often enough makes a longer one with it.
+        ahead = followers.where((F.col("n") >= params.least) & (F.col("x") != _long(END))).join(heavy.select("c", "s"), "c")
+        last = F.col("x") if depth == 1 else _ahead("s", "x")
+        ahead = cut(ahead.select(_ahead("c", "x").alias("c"), last.alias("s"), F.col("n").alias("total")), "lm-ahead")
+        pairs = Filter(ahead) if depth == 1 else pairs
+        heavy = cut(ahead.join(states.select(F.col("c").alias("s")), "s", "left_semi").select("c", "s", "total"), "lm-contexts")
         depth += 1
-        yield states, level
-
 
-def gains(texts: DataFrame, base: DataFrame, params: Params) -> DataFrame:
-    """(u, gain): parts of what each text gains over the base, to be added up.
 
-    A state of a text's contexts gives two terms at each word after it: that of words not
-    seen there, and what the word, if seen, has beyond it.  They are log10, and add up over
-    the suffixes of the longest state."""
-    spark = texts.sparkSession
-
-    @F.pandas_udf("bigint")
-    def term(c: pd.Series, x: pd.Series) -> pd.Series:
-        return pd.Series(followed(c.to_numpy(np.int64).view(np.uint64), x.to_numpy(np.int64).view(np.uint64)).view(np.int64))
-
-    back = F.log10(F.lit(params.prior) / (F.col("total") + params.prior))
-    terms, kept_bits, depth = None, np.zeros(1 << (_FILTER_BITS - 6), np.uint64), 0
-    for states, level in levels(texts.where("f > 0"), base, params):
-        kept_bits = kept_bits | _filter(states)
-        depth += 1
-        own = states.select(F.col("c").alias("z"), back.alias("g"), F.col("total").alias("n"))
-        own = own.union(level.select(term("c", "x"), (F.col("lp") - F.col("below")) / math.log(10) - back, "n"))
-        terms = own if terms is None else terms.union(own)
-    if terms is None:
-        return texts.select("u", F.lit(0.0).alias("gain"))
-    terms = cut(terms, "lm-terms")
-    # The commonest terms are held, as many as fit whole counts of occurrences.
-    by_count = F.sum("m").over(Window.orderBy(F.desc("n")))
-    least = terms.groupBy("n").agg(F.count("*").alias("m")).withColumn("upto", by_count).where(F.col("upto") <= params.terms).agg(F.min("n")).first()[0]
-    common = terms.where(F.col("n") >= least).select("z", "g").toArrow() if least is not None else terms.limit(0).select("z", "g").toArrow()
-    zs, gs = common["z"].to_numpy(), common["g"].to_numpy()
-    order = np.argsort(zs)
-    shared = spark.sparkContext.broadcast((kept_bits, zs[order], gs[order]))
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, zs, gs = shared.value
-        for batch in slices(batches):
-            words, place, row = _sequences(batch)
-            at, context = np.arange(len(words)), np.zeros(len(words), np.uint64)
-            found, owner = [], []
-            for d in range(1, depth + 1):
-                within = place[at] >= d
-                at, context = at[within], context[within]
-                context = longer(context, words[at - d])
-                inside = _passes(kept, context)
-                at, context = at[inside], context[inside]
-                found += [context, followed(context, words[at])]
-                owner += [row[at]] * 2
-            z, r = np.concatenate(found).view(np.int64), np.concatenate(owner)
-            place_of = np.minimum(np.searchsorted(zs, z), max(len(zs) - 1, 0))
-            held = zs[place_of] == z if len(zs) else np.zeros(len(z), bool)
-            gain = np.bincount(r[held], weights=gs[place_of[held]], minlength=batch.num_rows).astype(np.float64)
-            order = np.argsort(r[~held], kind="stable")
-            cuts = np.searchsorted(r[~held][order], np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch["u"], pa.array(gain), pa.ListArray.from_arrays(pa.array(cuts), pa.array(z[~held][order]))], names=["u", "gain", "zs"])
-
-    got = cut(texts.select("u", "w").mapInArrow(summed, "u bigint, gain double, zs array<bigint>"), "lm-gains")
-    others = terms if least is None else terms.where(F.col("n") < least)
-    rest = got.select("u", F.explode("zs").alias("z")).join(others.select("z", "g"), "z").groupBy("u").agg(F.sum("g").alias("gain"))
-    return got.select("u", "gain").union(rest)
+def _long(key: int) -> Column:
+    return F.lit(key - (key >> 63 << 64)).cast("bigint")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, params: Params = Params()) -> DataFrame:
@@ -416,58 +376,101 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     Repeated rows are learnt from and scored as often as they stand there; other
     columns are left aside, whatever their names; an empty table gives an empty
     result.  Words are told apart by 64-bit hashes.
+
+    A state of a text's contexts gives two terms at each word after it: that of words
+    not seen there, and what the word, if seen, has beyond it.  They are log10, and
+    add up over the suffixes of the longest state.
     """
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), fold(key, folds).alias("f"))
-    training = rows.where("f > 0")
-    counts = cut(word_counts(training, params), "lm-words")
+    spark = docs.sparkSession
+    texts = encoded(docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), fold(key, folds).alias("f")))
+    training = texts.where("f > 0").select("w")
+    counts = cut(word_counts(training), "lm-words")
     distinct, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    whole = total + 0.1 * (distinct + 1)
-    top = counts.orderBy(F.desc("n"), "key").limit(params.counted).toArrow()
-    keys, ns = top["key"].to_numpy(), top["n"].to_numpy()
-    held = dict(zip(keys.tolist(), ns.tolist()))
-    shared = docs.sparkSession.sparkContext.broadcast(held)
+    whole = float(total + 0.1 * (distinct + 1))
+    log10 = 1 / math.log(10)
+    terms, kept = None, []
+    for states, level in levels(training, counts, whole, params):
+        kept.append(Filter(states))
+        own = states.select(F.col("c").alias("z"), (F.col("back") * log10).alias("g"), F.lit(1 << 62).alias("n"))
+        own = own.union(level.select(_term("c", "x"), (F.col("lp") - F.col("below") - F.col("back")) * log10, "n"))
+        terms = own if terms is None else terms.union(own)
+    terms = cut(terms if terms is not None else counts.limit(0).select(F.col("key").alias("z"), F.lit(0.0).alias("g"), "n"), "lm-terms")
+    words, _ = _commonest(counts.select("key", F.log10((F.col("n") + 0.1) / F.lit(whole)).alias("g"), "n"), params.counted)
+    held, others = _commonest(terms, params.terms)
+    shared = spark.sparkContext.broadcast((words, kept, held, None if others is None else Filter(others, "z")))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(Symbols({}, params), shared.value, whole)
-        first = np.array([word_key(START)], np.int64)
-        for batch in slices(batches):
-            n = batch.num_rows
-            lists, starts = word_lists(batch["t"].to_pylist())
-            at = words.of(lists, starts[-1])
-            logs = np.array(words.logs)[at]
-            rare = np.isnan(logs)
+        words, kept, held, rest = shared.value
+        for batch, w, starts in _sequences(batches):
+            n, place = batch.num_rows, _places(starts)
             row = np.repeat(np.arange(n), np.diff(starts))
-            sums = [np.add.reduceat(x, starts[:-1]) for x in (~rare, np.where(rare, 0.0, logs))]
-            keyed = np.array(words.keys)[at]
-            encoded = [np.concatenate([first, keyed[a:b]]).tobytes() for a, b in zip(starts, starts[1:])]
-            # Rare words by text, each with how often it stands there.
-            codes, times = np.unique(row[rare] << 40 | at[rare], return_counts=True)
-            cuts = np.searchsorted(codes, np.arange(n + 1) << 40).astype(np.int32)
-            keys = np.array(words.keys)[codes & ((1 << 40) - 1)]
-            columns = [batch["k"], batch["f"], pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(encoded, pa.binary())]
-            columns += [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int64))) for x in (keys, times)]
-            yield pa.RecordBatch.from_arrays(columns, names=["k", "f", "n_tokens", "known", "base", "w", "keys", "times"])
-
-    ddl = f"k {kind}, f int, n_tokens bigint, known bigint, base double, w binary, keys array<bigint>, times array<bigint>"
-    texts = cut(rows.select("k", "t", "f").mapInArrow(scored, ddl).withColumn("u", F.monotonically_increasing_id()), "lm-texts")
-    rare = texts.where("size(keys) > 0").select("u", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("u", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
+            inner = place > 0
+            found = words.find(w[inner])
+            known = found >= 0
+            base = np.bincount(row[inner][known], weights=words.values[found[known]], minlength=n).astype(np.float64)
+            rare_keys, rare_rows = w[inner][~known], row[inner][~known]
+            gain, zs, owners = np.zeros(n), [], []
+            at, context = np.flatnonzero(inner), np.zeros(int(inner.sum()), np.uint64)
+            for d, states in enumerate(kept, 1):
+                within = place[at] >= d
+                at, context = at[within], context[within]
+                context = longer(context, w[at - d], d)
+                inside = states.passes(context)
+                at, context = at[inside], context[inside]
+                for z in (context, followed(context, w[at])):
+                    there = held.find(z)
+                    hit = there >= 0
+                    gain += np.bincount(row[at[hit]], weights=held.values[there[hit]], minlength=n)
+                    if rest is not None:
+                        open_ = np.flatnonzero(~hit)
+                        open_ = open_[rest.passes(z[open_])]
+                        zs.append(z[open_])
+                        owners.append(row[at[open_]])
+            z, owner = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((zs, np.uint64), (owners, np.int64)))
+            order = np.argsort(owner, kind="stable")
+            lists = [_lists(rare_keys, rare_rows, n), _lists(z[order], owner[order], n)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["u"], batch["k"], batch["f"], pa.array(np.diff(starts) - 1), pa.array(np.bincount(row[inner][known], minlength=n).astype(np.int64)), pa.array(base), pa.array(gain), *lists],
+                names=["u", "k", "f", "n_tokens", "known", "base", "gain", "keys", "zs"],
+            )
+
+    ddl = f"u bigint, k {kind}, f int, n_tokens bigint, known bigint, base double, gain double, keys array<bigint>, zs array<bigint>"
+    got = cut(texts.select("u", "k", "f", "w").mapInArrow(scored, ddl), "lm-scored")
     # The words that tasks hold are looked up there; none of the others is common.
-    seen = rare.join(counts.select("key", "n"), "key", "left")
+    rare = got.select("u", F.explode("keys").alias("key")).join(counts.select("key", "n"), "key", "left")
     n = F.coalesce(F.col("n"), F.lit(0))
-    by_word = seen.select(
-        "u", F.when(n > 0, F.col("times")).otherwise(0).alias("rare_known"), (F.col("times") * F.log10((n + 0.1) / F.lit(float(whole)))).alias("rare_base"), F.lit(0.0).alias("gain")
-    )
-    shares = counts.select(F.col("key").alias("x"), F.log((F.col("n") + 0.1) / F.lit(float(whole))).alias("below"))
-    by_state = gains(texts.select("u", "f", "w"), shares, params).select("u", F.lit(0).cast("bigint"), F.lit(0.0), "gain")
-    sums = by_word.union(by_state).groupBy("u").agg(*[F.sum(c).alias(c) for c in ("rare_known", "rare_base", "gain")])
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return texts.drop("w").join(sums, "u", "left").select(
+    more = rare.select("u", F.when(n > 0, 1).otherwise(0).cast("bigint").alias("more_known"), F.log10((n + 0.1) / F.lit(whole)).alias("more_base"), F.lit(0.0).alias("more_gain"))
+    if others is not None:
+        more = more.union(got.select("u", F.explode("zs").alias("z")).join(others, "z").select("u", F.lit(0).cast("bigint"), F.lit(0.0), "g"))
+    sums = more.groupBy("u").agg(*[F.sum(c).alias(c) for c in ("more_known", "more_base", "more_gain")])
+    base = F.col("base") + F.coalesce("more_base", F.lit(0.0))
+    return got.join(sums, "u", "left").select(
         F.col("k").alias(key),
         (F.col("f") == 0).alias("held_out"),
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        (base + F.col("gain") + F.coalesce("more_gain", F.lit(0.0))).alias("score"),
     )
+
+
+def _commonest(rows: DataFrame, most: int) -> tuple[Table, DataFrame | None]:
+    """A table of (key, g) of the rows (key, g, n) of greatest n, whole classes of n, ``most`` at
+    the most; and the other rows, None if there are none."""
+    key = rows.columns[0]
+    upto = F.sum("m").over(Window.orderBy(F.desc("n")))
+    by_count = rows.groupBy("n").agg(F.count("*").alias("m"))
+    fits = by_count.withColumn("upto", upto).agg(F.min(F.when(F.col("upto") <= most, F.col("n"))), F.max("upto")).first()
+    least, size = fits[0], fits[1] or 0
+    held = rows.where(F.col("n") >= least) if least is not None else rows.limit(0)
+    got = held.select(key, "g").toArrow()
+    table = Table(got[key].to_numpy(), got["g"].to_numpy().astype(np.float64))
+    return table, None if size <= most else rows.where(F.col("n") < least) if least is not None else rows
+
+
+def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.ListArray:
+    """``values`` as one list a row; ``rows`` are sorted."""
+    cuts = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(values.view(np.int64)))
