@@ -25,7 +25,7 @@ PAGE = 22
 URL = f"https://{adapter.WIKI}/w/index.php?curid={PAGE}"
 
 _NETLOC = r"regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1)"
-_NAME_ONLY = r"""regexp_matches(trim({0}), '(?i)^<ref\s+name\s*=\s*(?:"[^"]+"|''[^'']+''|[^\s>/]+)\s*/\s*>$')"""
+_NAME_ONLY = "regexp_matches(trim({0}), '" + C.NAME_ONLY.replace("'", "''") + "')"
 
 LOGICAL = f"""
 WITH x_part AS (
@@ -623,3 +623,24 @@ def normalize_wikitext(spark: SparkSession, d: str) -> DataFrame:
 @registered("unpivot_parameters", "SELECT * FROM x_tdraw")
 def unpivot_parameters(spark: SparkSession, d: str) -> DataFrame:
     return adapter.raw_template_data(spark, d)
+
+
+@registered("netloc_of_any_address", """
+SELECT p_partkey, u.place::INT AS place, u.host
+FROM part, LATERAL (VALUES
+  (0, 'H' || p_partkey || '.Example:80'), (1, NULL), (2, NULL), (3, '[2001:db8::' || p_partkey || ']:8080'), (4, ''), (5, 'u:p@h' || p_partkey), (6, NULL), (7, NULL)) AS u(place, host)""", logical=False)
+def netloc_of_any_address(spark: SparkSession, d: str) -> DataFrame:
+    """Ports, users and addresses in brackets stay; what no parser takes for a host is null."""
+    k = F.col("p_partkey").cast("string")
+    urls = [("http://H", k, ".Example:80/a"), ("http://[bad", k, "/x"), ("http://bad]", k, "/x"), ("https://[2001:db8::", k, "]:8080?q"), ("mailto:", k, ""), ("//u:p@h", k, "#f"), ("http://h", k, "\uff0fx/y"), ("http://[h", k, "]/x")]
+    rows = adapter.read(spark, d, "part").select("p_partkey", F.posexplode(F.array(*[F.concat(F.lit(a), b, F.lit(c)) for a, b, c in urls])).alias("place", "url"))
+    return rows.select("p_partkey", "place", C.netloc(F.col("url")).alias("host"))
+
+
+@registered("names_in_white_space", """
+SELECT p_partkey, 'Cite ' || p_name AS name, true AS name_only FROM part""", logical=False)
+def names_in_white_space(spark: SparkSession, d: str) -> DataFrame:
+    """Line ends, tabs and other white space around a name or a reference count as spaces do."""
+    name = C.template_name_norm(F.concat(F.lit("\u2003cite_"), "p_name", F.lit("\n\t")))
+    alone = C.is_name_only(F.concat(F.lit("\n\u00a0<ref name="), F.col("p_partkey").cast("string"), F.lit(" />\t\n")), F.lit("n"))
+    return adapter.read(spark, d, "part").select("p_partkey", name.alias("name"), alone.alias("name_only"))

@@ -14,8 +14,11 @@ from ..functions import columns as C
 from ..functions.udfs import parsed
 from ..operators import lifecycle as L
 from ..operators.derive import DEFAULT_DOMAIN
+from ..sources.storage import cut
 
 LIMIT, MOST = 100, 1000
+#: Keys that a look-up sends to every task; with more it shuffles both sides.
+FEW = 100_000
 
 
 NAMES = ("revisions", "histories", "instances", "normalized", "documents", "web_resources", "ncwr", "wiki_templates", "template_data", "titles")
@@ -63,6 +66,14 @@ def paged(df: DataFrame, limit: int | None = LIMIT, offset: int | None = 0) -> D
     return df.offset(offset).limit(min(limit, MOST))
 
 
+def met(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` whose columns ``on`` stand in ``keys``.  The keys are counted: FEW of them or less
+    are broadcast, and what they do not meet never leaves its place."""
+    keys = keys.select(*on).distinct()
+    few = keys.limit(FEW + 1).count() <= FEW
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 def article(t: Tables, url: str) -> DataFrame:
     """A page by its address, with all its revisions; the latest is the last by time."""
     if not url:
@@ -70,10 +81,11 @@ def article(t: Tables, url: str) -> DataFrame:
     page = t.web_resources.where((F.md5("url") == F.md5(F.lit(url))) & (F.col("url") == url) & F.col("page_id").isNotNull()).select("page_id", "url").limit(1)
     every = Window.partitionBy("page_id")
     latest = F.max(F.struct("revision_timestamp", "revision_id")).over(every)
-    return page.join(t.revisions, "page_id").select(
+    rows = page.join(t.revisions, "page_id").select(
         "page_id", "url", "revision_id", "revision_timestamp", "parent_revision_id",
         F.count("*").over(every).alias("revision_count"), latest["revision_id"].alias("latest_revision_id"),
     )
+    return rows.orderBy("revision_timestamp", "revision_id")
 
 
 def revision_counts(t: Tables, page_id: int) -> DataFrame:
@@ -126,11 +138,13 @@ def citations_at(
     else:
         texts = t.normalized.select("normalized_sha1", "reference_normalized")
         out = rows.join(texts, "normalized_sha1").select("raw_sha1", "normalized_sha1", "reference_normalized", "reference_type", "reference_name", *life, "removed_at_id", "removed_at_ts")
-    return paged(out.orderBy(F.col("last_seen_ts").desc(), "raw_sha1"), limit, offset) if limit is not None else out
+    out = out.orderBy(F.col("last_seen_ts").desc(), "raw_sha1")
+    return paged(out, limit, offset) if limit is not None else out
 
 
 def citation_links(t: Tables, sha1: str) -> DataFrame:
-    return t.ncwr.where(F.col("normalized_sha1") == sha1).join(t.web_resources.select("url").distinct(), "url").select("normalized_sha1", "url")
+    held = t.ncwr.where(F.col("normalized_sha1") == sha1)
+    return held.join(met(t.web_resources.select("url"), held, ["url"]).distinct(), "url").select("normalized_sha1", "url")
 
 
 def citation_templates(t: Tables, sha1: str) -> DataFrame:
@@ -156,12 +170,13 @@ def citation_detail(t: Tables, sha1: str) -> DataFrame:
 
 
 def citation_history(t: Tables, sha1: str, page_id: int | None = None) -> DataFrame:
-    """Revisions a citation stands in, one row for each raw form of it there."""
+    """Revisions a citation stands in, one row for each raw form of it there, by time."""
     forms = t.instances.where(F.col("normalized_sha1") == sha1)
     if page_id is not None:
         forms = forms.where(F.col("page_id") == page_id)
-    rows = t.histories.distinct().join(forms.select("page_id", "raw_sha1"), ["page_id", "raw_sha1"])
-    return rows.join(t.revisions.select("revision_id", "revision_timestamp"), "revision_id").select("revision_id", "revision_timestamp", "page_id")
+    rows = cut(met(t.histories, forms, ["page_id", "raw_sha1"]).distinct(), "history")
+    stamped = met(t.revisions.select("revision_id", "revision_timestamp"), rows, ["revision_id"])
+    return rows.join(stamped, "revision_id").select("revision_id", "revision_timestamp", "page_id").orderBy("revision_timestamp", "revision_id", "page_id")
 
 
 def _template_rows(t: Tables, template: str, key: str, value: str | None, domain: str | None) -> DataFrame:
@@ -198,7 +213,7 @@ def resolve_url(t: Tables, urls: DataFrame) -> DataFrame:
     """(url, resolved) for a column ``url``: an address by title becomes one by number, one by
     number stays, anything else is null."""
     parts = urls.select("url", C.parsed_wiki_url(F.col("url")).alias("p")).select("url", "p.*")
-    pages = t.titles.groupBy("domain", "title").agg(F.min("page_id").alias("page_id"))
+    pages = met(t.titles, parts, ["domain", "title"]).groupBy("domain", "title").agg(F.min("page_id").alias("page_id"))
     found = parts.join(pages, ["domain", "title"], "left")
     by_title = F.when(F.col("page_id").isNotNull() & (F.col("page_id") != -1), C.curid_url(F.col("domain"), F.col("page_id")))
     return found.select("url", F.when(F.col("is_curid"), F.col("url")).otherwise(by_title).alias("resolved"))
@@ -211,40 +226,48 @@ def explorer_article(t: Tables, url: str) -> DataFrame:
     return article(t, resolved or url)
 
 
-def _article_urls(t: Tables) -> DataFrame:
-    return t.web_resources.where("page_id is not null").groupBy("page_id").agg(F.min("url").alias("url"))
+def _article_urls(t: Tables, pages: DataFrame) -> DataFrame:
+    """(page_id, url) of the pages given."""
+    return met(t.web_resources.where("page_id is not null"), pages, ["page_id"]).groupBy("page_id").agg(F.min("url").alias("url"))
+
+
+def _titles(t: Tables, pages: DataFrame) -> DataFrame:
+    """(page_id, title) of the pages given."""
+    return met(t.titles, pages, ["page_id"]).groupBy("page_id").agg(F.min("title").alias("title"))
 
 
 def explorer_citations(t: Tables, page_id: int, revision_id: int | None = None) -> DataFrame:
     """``citations_at`` with the number of other articles that hold the citation as their
     own, none for a reference that is a name alone, and the address of the article."""
-    rows = citations_at(t, page_id, revision_id)
-    homes = t.normalized.select("normalized_sha1", F.col("appears_on_page_id").alias("home"))
-    homes = homes.join(_article_urls(t).withColumnRenamed("page_id", "home"), "home", "left")
-    rows = rows.join(homes, "normalized_sha1", "left")
+    rows = cut(citations_at(t, page_id, revision_id), "citations")
+    homes = met(t.normalized, rows, ["normalized_sha1"]).select("normalized_sha1", F.col("appears_on_page_id").alias("home"))
+    urls = _article_urls(t, homes.select(F.col("home").alias("page_id"))).withColumnRenamed("page_id", "home")
+    rows = rows.join(homes.join(urls, "home", "left"), "normalized_sha1", "left")
     alone = C.is_name_only(F.col("reference_normalized"), F.col("reference_name"))
     other = F.col("home").isNotNull() & (F.col("home") != page_id) & ~alone
-    return rows.withColumn("is_name_only", alone).withColumn("other_page_id", F.when(other, F.col("home"))).withColumn("other_url", F.when(other, F.col("url"))).drop("home", "url")
+    rows = rows.withColumn("is_name_only", alone).withColumn("other_page_id", F.when(other, F.col("home"))).withColumn("other_url", F.when(other, F.col("url"))).drop("home", "url")
+    return rows.orderBy(F.col("last_seen_ts").desc(), "raw_sha1")
 
 
 def citation_report(t: Tables, sha1: str, page_id: int | None = None) -> DataFrame:
     """``citation_history`` with the article's title and address, joined by page."""
-    titles = t.titles.groupBy("page_id").agg(F.min("title").alias("title"))
-    return citation_history(t, sha1, page_id).join(titles, "page_id", "left").join(_article_urls(t), "page_id", "left").select("revision_id", "revision_timestamp", "page_id", "title", "url")
+    rows = cut(citation_history(t, sha1, page_id), "report")
+    out = rows.join(_titles(t, rows), "page_id", "left").join(_article_urls(t, rows), "page_id", "left")
+    return out.select("revision_id", "revision_timestamp", "page_id", "title", "url").orderBy("revision_timestamp", "revision_id", "page_id")
 
 
 def other_articles(t: Tables, sha1: str, exclude_page: int | None = None) -> DataFrame:
-    """Pages that ever held a citation, without the one given; none for a name alone that
-    some instance bears."""
+    """Pages that ever held a citation, without the one given, by title; none for a name alone
+    that some instance bears."""
     text = t.normalized.where(F.col("normalized_sha1") == sha1)
     named = t.instances.where((F.col("normalized_sha1") == sha1) & (F.col("reference_name") != "")).select("normalized_sha1").limit(1)
     alone = text.where(C.is_name_only(F.col("reference_normalized"), F.lit("name"))).join(named, "normalized_sha1", "left_semi")
     forms = t.instances.where(F.col("normalized_sha1") == sha1).join(alone.select("normalized_sha1"), "normalized_sha1", "left_anti")
     if exclude_page is not None:
         forms = forms.where(F.col("page_id") != exclude_page)
-    pages = t.histories.join(forms.select("page_id", "raw_sha1"), ["page_id", "raw_sha1"], "left_semi").select("page_id").distinct()
-    titles = t.titles.groupBy("page_id").agg(F.min("title").alias("title"))
-    return pages.join(titles, "page_id", "left").join(_article_urls(t), "page_id", "left").select("page_id", "title", "url")
+    pages = cut(met(t.histories, forms, ["page_id", "raw_sha1"]).select("page_id").distinct(), "pages")
+    out = pages.join(_titles(t, pages), "page_id", "left").join(_article_urls(t, pages), "page_id", "left")
+    return out.select("page_id", "title", "url").orderBy(F.col("title").asc_nulls_last(), "page_id")
 
 
 def page_references(revisions: DataFrame, titles: DataFrame, title: str, as_of: str | None = None, domain: str = DEFAULT_DOMAIN) -> DataFrame:
