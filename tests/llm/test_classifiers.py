@@ -96,3 +96,66 @@ def test_statistics_of_odd_texts():
     for text in (None, "", " ", "\n\n", "!!!", "ä", "a b a b", "x" * 10_000):
         s = Q.statistics(text)
         assert len(s) == len(Q.STATISTICS) and np.isfinite(s).all()
+
+
+def test_ftrl_against_a_plain_version():
+    """Coordinate by coordinate, in dictionaries, as the method is written down."""
+    rng = np.random.default_rng(5)
+    examples = [(np.unique(rng.integers(0, 64, rng.integers(0, 9))).astype(np.int32), float(rng.random() < 0.4)) for _ in range(200)]
+    p = T.Params(bits=6, epochs=3, l1=0.7, l2=0.3, alpha=0.4, beta=0.9)
+    z, n = dict.fromkeys(range(65), 0.0), dict.fromkeys(range(65), 0.0)
+
+    def weight(i):
+        l1, l2 = (0.0, 0.0) if i == 64 else (p.l1, p.l2)
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((p.beta + n[i] ** 0.5) / p.alpha + l2)
+
+    for _ in range(p.epochs):
+        for at, y in examples:
+            w = {i: weight(i) for i in (*at.tolist(), 64)}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i, wi in w.items():
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / p.alpha * wi
+                n[i] += g * g
+    model = T.train(examples, p)
+    assert np.allclose(model.dense(), [weight(i) for i in range(64)], atol=1e-6) and abs(model.bias - weight(64)) < 1e-9
+    assert 0 < (model.dense() == 0).sum() < 64
+
+
+def test_fit_learns_from_the_sample_in_its_order(labelled):
+    docs, labels = labelled
+    p = T.Params(sample=150, epochs=2)
+    sample = T.labelled_sample(docs, labels, "toxic", 5, 0, p.sample).collect()
+    assert len(sample) == 150
+    f = T.Features(p.bits)
+    plain = T.train([(f.of(r.text), r.y) for r in sorted(sample, key=lambda r: (r.h, f.of(r.text).tobytes()))], p)
+    got = T.fit(docs, labels, p)
+    assert np.array_equal(got.at, plain.at) and np.allclose(got.weight, plain.weight, atol=1e-6) and abs(got.bias - plain.bias) < 1e-9
+
+
+def test_ridge_against_a_direct_solution(labelled):
+    """The normal equations, on the driver, of the rows that are not set aside for calibration; the
+    calibration against the isotonic values of those that are."""
+    docs, labels = labelled
+    p = Q.Params(features=32, sample=200, bins=64)
+    got = Q.fit(docs, labels, p)
+    sample = Q.labelled_sample(docs, labels, "quality", 4, 2, p.sample).withColumn("aside", F.pmod(F.xxhash64("h"), F.lit(p.calibrate)) == 0).collect()
+    x, y, aside = np.array([Q.statistics(r.text) for r in sample]), np.array([r.y for r in sample]), np.array([r.aside for r in sample])
+    assert 20 < aside.sum() < 90
+    fitted, n = x[~aside], (~aside).sum()
+    assert np.allclose(got.mean, fitted.mean(0), atol=1e-6) and np.allclose(got.scale, fitted.std(0), atol=1e-4)
+    z = np.hstack([got.features(fitted), np.ones((n, 1))])
+    left = z.T @ z + np.diag([p.ridge * n / 32] * 32 + [0.0])
+    assert np.allclose(np.linalg.solve(left, z.T @ y[~aside]), got.coefficients, atol=1e-4)
+    at = np.clip(((got.margin(x[aside]) + 0.5) / 2 * p.bins).astype(int), 0, p.bins - 1)
+    used = np.unique(at)
+    assert np.allclose(got.edges, (used + 0.5) / p.bins * 2 - 0.5)
+    assert np.allclose(got.values, Q.isotonic(np.bincount(at)[used].astype(float), np.array([y[aside][at == b].mean() for b in used])))
+
+
+@pytest.mark.parametrize("op", [T, Q])
+def test_reruns_agree_where_an_id_stands_on_many_rows(spark, labelled, op):
+    docs, labels = labelled
+    many = docs.unionByName(docs.withColumn("text", F.concat(F.lit("other words "), F.reverse("text")))).unionByName(docs)
+    a, b = op.fit(many.repartition(7), labels), op.fit(many.repartition(3, "text"), labels)
+    for x, y in zip(vars(a).values(), vars(b).values()):
+        assert np.array_equal(x, y)
