@@ -48,14 +48,18 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     cells = cut(base.groupBy("source", "s", "shard").agg(F.sum("size").alias("z")), "mix-cells")
     sources = cut(targets(cells.groupBy("source", "s").agg(F.sum("z").alias("source_size"))), "mix-sources")
     seats = apportion(sources, block)
-    in_order = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    by_shard = Window.partitionBy("s").orderBy("shard")
+    so_far = by_shard.rowsBetween(Window.unboundedPreceding, 0)
     share = F.col("reached") / F.greatest(F.col("source_size"), F.lit(1))
-    before = (F.col("reached") - F.col("z")) / F.greatest(F.col("source_size"), F.lit(1))
+    # A shard takes MOST times its words at most; what its blocks have beyond goes to the shards
+    # after it that have room: all that a source lacks in the end is less than two blocks.
     quotas = (
         cells.drop("source")
-        .withColumn("reached", F.sum("z").over(in_order))
+        .withColumn("reached", F.sum("z").over(so_far))
         .join(seats, "s")
-        .withColumn("quota", F.least((F.floor(F.col("seats") * share) - F.floor(F.col("seats") * before)) * block, F.col("z") * MOST))
+        .withColumn("over", F.floor(F.col("seats") * share) * block - F.col("reached") * MOST)
+        .withColumn("given", F.col("reached") * MOST + F.least(F.lit(0), F.min("over").over(so_far)))
+        .withColumn("quota", F.col("given") - F.coalesce(F.lag("given").over(by_shard), F.lit(0)))
         .select("s", "shard", "z", "source_size", "target", "quota")
     )
     order = Window.partitionBy("s", "shard").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)

@@ -118,11 +118,13 @@ offers AS (
   FROM sure LEFT JOIN won ON won.s = sure.s AND turn <= (SELECT any_value(blocks) - sum(base) FROM sure)
   GROUP BY sure.s, base
 ), reached AS (SELECT *, sum(z) OVER (PARTITION BY s ORDER BY shard ROWS UNBOUNDED PRECEDING) AS upto FROM cells),
-quotas AS (
-  SELECT s, shard, z, source_size, target,
-         least((floor(seats * (upto::DOUBLE / greatest(source_size, 1)))
-              - floor(seats * ((upto - z)::DOUBLE / greatest(source_size, 1))))::BIGINT * 4, z * 2) AS quota
+wanted AS (
+  SELECT s, shard, z, source_size, target, upto, floor(seats * (upto::DOUBLE / greatest(source_size, 1)))::BIGINT * 4 - upto * 2 AS over_room
   FROM reached JOIN seats USING (s) JOIN targets USING (s)
+), filled AS (
+  SELECT *, upto * 2 + least(0, min(over_room) OVER (PARTITION BY s ORDER BY shard ROWS UNBOUNDED PRECEDING)) AS given FROM wanted
+), quotas AS (
+  SELECT s, shard, z, source_size, target, given - coalesce(lag(given) OVER (PARTITION BY s ORDER BY shard), 0) AS quota FROM filled
 ), placed AS (
   SELECT id, d.size, source_size, target, quota, z,
          sum(d.size) OVER (PARTITION BY s, shard ORDER BY h, id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS start

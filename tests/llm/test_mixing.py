@@ -53,6 +53,16 @@ def test_awkward(awkward, nothing):
     assert M.mix_quantities(nothing).count() == M.mixed_documents(nothing).count() == 0
 
 
+@pytest.mark.parametrize("words", [1, 3, 5])
+def test_a_small_source_of_short_texts_in_many_shards(spark, words):
+    """A hundred short documents over 32 shards: what a shard has no room for goes to the next."""
+    big = spark.range(1000, 16_000).select(F.col("id").alias("doc_id"), F.lit("a b c d e f g h").alias("text"), F.lit("en").alias("lang"), F.lit("z").alias("source"), F.lit(15).cast("bigint").alias("n_chars"))
+    small = spark.createDataFrame([(i, " ".join(["w"] * words), "en", "a", 2 * words - 1) for i in range(100)], SCHEMA)
+    got = M.mix_quantities(big.unionByName(small)).where("doc_id < 1000").collect()
+    assert all(0 <= g.taken <= 2 * g.size for g in got)
+    assert got[0].target == 200 * words and 0 <= got[0].target - sum(g.taken for g in got) < 2 * M.BLOCK
+
+
 def test_empty_texts_alone(spark):
     df = spark.createDataFrame([(1, None, "en", "a", None), (2, "  ", "en", None, 2)], SCHEMA)
     assert sorted(tuple(r) for r in M.mix_quantities(df).collect()) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
