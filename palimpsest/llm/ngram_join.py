@@ -161,7 +161,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
     banded = _bands(classes, params)
     sizes = banded.groupBy("band", "hash").agg(F.count("*").alias("m"), F.sum("n").alias("grams")).where("m > 1")
     buckets = cut(banded.join(sizes, ["band", "hash"]).select("band", "hash", "mark", "m", sizes["grams"]), "join-buckets")
-    sets = _sets(kept, classes.join(buckets.select("mark").distinct(), "mark"), params)
+    sets = _sets(kept, cut(classes.join(buckets.select("mark").distinct(), "mark", "left_semi"), "join-wanted"), params)
 
     small = buckets.where(F.col("m") <= params.small)
     pairs = small.select("band", "hash", F.col("mark").alias("a")).join(small.select("band", "hash", F.col("mark").alias("b")), ["band", "hash"])
@@ -196,16 +196,17 @@ def _bands(classes: DataFrame, params: Params) -> DataFrame:
     return classes.select("mark", "bands", "n").mapInArrow(split, "mark binary, n int, band smallint, hash bigint")
 
 
-#: Bits of the filter that keeps texts without a candidate out of the shuffle; its
-#: size is fixed, and what it lets through in error goes at the exact join after it.
-_FILTER_BITS = 1 << 26
+#: Least and most bits of the filter that keeps texts without a candidate out of the shuffle:
+#: sixteen a candidate between these.  What it lets through in error goes at the exact join after it.
+_LEAST_BITS, _MOST_BITS = 16, 28
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
     """(mark, copies, bands, grams) of the classes ``wanted``, from the text of their least key."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS))
-    words = wanted.select(slot.alias("s")).groupBy((F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
-    bits = np.zeros(_FILTER_BITS // 64, np.int64)
+    size = 1 << max(_LEAST_BITS, min(_MOST_BITS, (16 * wanted.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("id"), F.lit(size))
+    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
     bits[words["w"].to_numpy()] = words["bits"].to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
 
@@ -352,7 +353,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", param
         .select("mark", F.col("id").alias("copy_id"), F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     about = cut(about, "join-about")
-    rows = got.rows.join(about, "mark", "left")
+    # Rows without n-grams meet nothing; those of a hot class adaptive execution can split.
+    lone = got.rows.where("mark is null").select("mark", "id", "h", *[F.lit(None).cast(about.schema[c].dataType).alias(c) for c in about.columns[1:]])
+    rows = got.rows.where("mark is not null").join(about, "mark", "left").select(*lone.columns).union(lone)
     return rows.select(
         F.col("id").alias(key),
         F.coalesce("class_id", "id").alias("class_id"),
@@ -376,7 +379,8 @@ def one_of_each(docs: DataFrame, params: Params = Params()) -> DataFrame:
     linked = named.join(groups, ["root", "salt"]).select("mark", "group_first", "group_unkeyed")
     leaders = own.join(linked, "mark", "left").select("mark", F.coalesce("group_first", "first").alias("first"), F.coalesce("group_unkeyed", "unkeyed").alias("unkeyed"))
     beyond = F.when(F.col("id").isNull(), F.col("h") != F.col("unkeyed")).otherwise(F.struct("id", "h") != F.col("first"))
-    told = got.rows.join(leaders, "mark", "left").select(F.col("id").alias("at_id"), F.col("h").alias("at_h"), F.coalesce(beyond, F.lit(False)).alias("gone"))
+    told = got.rows.where("mark is not null").join(leaders, "mark").select(F.col("id").alias("at_id"), F.col("h").alias("at_h"), F.coalesce(beyond, F.lit(False)).alias("gone"))
+    told = told.union(got.rows.where("mark is null").select("id", "h", F.lit(False)))
     told = told.groupBy("at_id", "at_h").agg(F.first("gone").alias("gone"), (F.count("*") > 1).alias("many")).where("gone or many")
     told = cut(told, "join-told")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))

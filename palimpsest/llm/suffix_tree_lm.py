@@ -39,8 +39,9 @@ _LEAST_BITS, _MOST_BITS = 1 << 16, 1 << 28
 SALTS = 8
 #: Contexts, of forty bytes or less, that go to every task.
 _FEW = 500_000
-#: Words that a task works on at a time, and pairs that it gathers before it counts them.
-_WORDS, _PAIRS = 1 << 19, 1 << 21
+#: Words that a task works on at a time, pairs that it gathers before it counts them, and counts
+#: that it gathers before it gives them.
+_WORDS, _PAIRS, _COUNTS = 1 << 19, 1 << 20, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -117,18 +118,20 @@ class Table:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         keys = keys.view(np.uint64)
-        self.shift = np.uint64(63 - max(4, len(keys).bit_length()))
-        slot = (keys * _MIX >> self.shift).astype(np.int64)
+        self.slots = np.uint64(len(keys) * 3 // 2 + 16)
+        slot = self._slot(keys)
         order, place = np.argsort(slot, kind="stable"), np.arange(len(keys))
         at = np.maximum.accumulate(slot[order] - place) + place
-        size = max(1 << (64 - int(self.shift)), at[-1] + 1 if len(at) else 0) + 1
+        size = max(int(self.slots), at[-1] + 1 if len(at) else 0) + 1
         self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, values.dtype)
         self.keys[at], self.values[at] = keys[order], values[order]
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _MIX >> np.uint64(32)) * self.slots >> np.uint64(32)).astype(np.int64)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, -1 if it is not there."""
-        out, rest = np.full(len(keys), -1, np.int64), np.arange(len(keys))
-        at = (keys * _MIX >> self.shift).astype(np.int64)
+        out, rest, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._slot(keys)
         while len(rest):
             there = self.keys[at]
             hit = there == keys
@@ -218,32 +221,48 @@ def _counted(texts: DataFrame, found: Callable) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        packed: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
 
-        def give() -> Iterator[pa.RecordBatch]:
+        def pack() -> int:
             for kind, pairs in enumerate(zip(*held)):
-                a, b = (np.concatenate(x) for x in zip(*pairs))
-                z = followed(a, b)
-                order = np.argsort(z)
-                z = z[order]
-                first = np.flatnonzero(np.diff(z, prepend=~z[:1]))
-                n, first = np.diff(first, append=len(z)), order[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), kind, np.int8)), pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "a", "b", "n"]
-                )
+                packed.setdefault(kind, []).append(_summed(*map(np.concatenate, zip(*pairs))))
             held.clear()
+            return sum(len(n) for counts in packed.values() for _, _, n in counts)
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for kind, counts in packed.items():
+                a, b, n = _summed(*map(np.concatenate, zip(*counts)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n)], names=["kind", "a", "b", "n"])
+            packed.clear()
 
         gathered = 0
         for _, words, starts in _sequences(batches):
             held.append(found(words, _places(starts)))
             gathered += sum(len(a) for a, _ in held[-1])
             if gathered > _PAIRS:
-                yield from give()
                 gathered = 0
+                if pack() > _COUNTS:
+                    yield from give()
+        pack()
         yield from give()
 
     return texts.select("w").mapInArrow(counted, "kind tinyint, a bigint, b bigint, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
+def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, and how often it occurs: ``n`` times where it stands, or once."""
+    z = followed(a, b)
+    order = np.argsort(z)
+    z = z[order]
+    first = np.flatnonzero(np.diff(z, prepend=~z[:1]))
+    if n is None:
+        total = np.diff(first, append=len(z)).astype(np.int64)
+    else:
+        total = np.add.reduceat(n[order], first) if len(first) else n
+    at = order[first]
+    return a[at], b[at], total
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(key, n): occurrences of each word, and of the end, in encoded texts."""
     found = lambda words, place: [(np.zeros(int((place > 0).sum()), np.uint64), words[place > 0])]
@@ -396,8 +415,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         own = own.union(level.select(_term("c", "x"), (F.col("lp") - F.col("below") - F.col("back")) * log10, "n"))
         terms = own if terms is None else terms.union(own)
     terms = cut(terms if terms is not None else counts.limit(0).select(F.col("key").alias("z"), F.lit(0.0).alias("g"), "n"), "lm-terms")
-    words, _ = _commonest(counts.select("key", F.log10((F.col("n") + 0.1) / F.lit(whole)).alias("g"), "n"), params.counted)
-    held, others = _commonest(terms, params.terms)
+    words, _ = _commonest(counts.select("key", F.col("n").alias("g"), "n"), params.counted, np.int64)
+    held, others = _commonest(terms, params.terms, np.float32)
     shared = spark.sparkContext.broadcast((words, kept, held, None if others is None else Filter(others, "z")))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +427,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
             inner = place > 0
             found = words.find(w[inner])
             known = found >= 0
-            base = np.bincount(row[inner][known], weights=words.values[found[known]], minlength=n).astype(np.float64)
+            base = np.bincount(row[inner][known], weights=np.log10((words.values[found[known]] + 0.1) / whole), minlength=n).astype(np.float64)
             rare_keys, rare_rows = w[inner][~known], row[inner][~known]
             gain, zs, owners = np.zeros(n), [], []
             at, context = np.flatnonzero(inner), np.zeros(int(inner.sum()), np.uint64)
@@ -456,8 +475,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     )
 
 
-def _commonest(rows: DataFrame, most: int) -> tuple[Table, DataFrame | None]:
-    """A table of (key, g) of the rows (key, g, n) of greatest n, whole classes of n, ``most`` at
+def _commonest(rows: DataFrame, most: int, kind: type) -> tuple[Table, DataFrame | None]:
+    """A table of (key, g), of a numeric ``kind``, of the rows (key, g, n) of greatest n, whole classes of n, ``most`` at
     the most; and the other rows, None if there are none."""
     key = rows.columns[0]
     upto = F.sum("m").over(Window.orderBy(F.desc("n")))
@@ -466,7 +485,7 @@ def _commonest(rows: DataFrame, most: int) -> tuple[Table, DataFrame | None]:
     least, size = fits[0], fits[1] or 0
     held = rows.where(F.col("n") >= least) if least is not None else rows.limit(0)
     got = held.select(key, "g").toArrow()
-    table = Table(got[key].to_numpy(), got["g"].to_numpy().astype(np.float64))
+    table = Table(got[key].to_numpy(), got["g"].to_numpy().astype(kind))
     return table, None if size <= most else rows.where(F.col("n") < least) if least is not None else rows
 
 
