@@ -36,6 +36,23 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], policy: str = REPLACE
     return both.select(*[chosen(c) for c in columns])
 
 
+def changes(old: DataFrame, new: DataFrame, key: list[str], policy: str = REPLACE) -> tuple[DataFrame, DataFrame]:
+    """(added, changed): one row for each key of ``new`` that ``old`` lacks, and one, as ``upsert``
+    leaves it, for each row of ``old`` that it would change.  Neither holds what stays as it is."""
+    columns = old.columns
+    rest = [c for c in columns if c not in key]
+    fresh = merged(new.select(*columns).na.drop(subset=key), key, rest, policy).select(*columns)
+    if policy == IGNORE or not rest:
+        return fresh.join(old.select(*key), key, "left_anti").select(*columns), fresh.limit(0)
+    both = fresh.alias("n").join(old.withColumn("_old", F.lit(True)).alias("o"), [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key], "left")
+    chosen = {c: F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")) if policy == COALESCE or c in key else F.col(f"n.{c}") for c in columns}
+    differs = F.lit(False)
+    for c in rest:
+        differs |= ~chosen[c].eqNullSafe(F.col(f"o.{c}"))
+    changed = both.where(F.col("o._old") & differs).select(*[v.alias(c) for c, v in chosen.items()])
+    return both.where(F.col("o._old").isNull()).select(*[F.col(f"n.{c}") for c in columns]), changed
+
+
 def merged(new: DataFrame, key: list[str], rest: list[str], policy: str) -> DataFrame:
     """One row a key of a batch."""
     if not rest:

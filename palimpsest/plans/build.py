@@ -9,11 +9,11 @@ from ..functions import columns as C
 from ..operators import upsert as U
 from ..operators.dedup import dedup_table
 from ..operators.derive import DEFAULT_DOMAIN, derive, references
-from ..operators.keys import extend_ids, resolve
+from ..operators.keys import assign_ids, resolve
 from ..schemas import DDL, SERVED, STAGED
 from ..sources.bundle import read_bundles
 from ..sources.staging import read_staged, staged_or_empty, write_deduped, write_staged
-from ..sources.storage import cut, empty, exists, read_table, replace_table
+from ..sources.storage import append_table, cut, delete, empty, exists, mark, read_table, replace_table
 
 #: Served tables in the order of their references.
 LOAD_ORDER = (
@@ -30,14 +30,20 @@ def stage(spark: SparkSession, bundles: str | DataFrame, root: str, domain: str
     write_staged(derive(revisions, refs, domain), root, stem)
 
 
-def dedup(spark: SparkSession, root: str, target: str, tables: list[str] | None = None) -> list[str]:
-    """Deduplicate staged tables, all or some; those that are not there are passed over."""
+def dedup(spark: SparkSession, root: str, target: str, tables: list[str] | None = None, resume: bool = False) -> list[str]:
+    """Deduplicate staged tables, all or some; those that are not there are passed over.  Each table
+    that is done is marked, whether it was there or not; to ``resume`` passes over marked ones."""
     done = []
     for name in tables or list(STAGED):
+        marker = f"{target}/_done/{name}"
+        if resume and exists(spark, marker):
+            continue
+        delete(spark, marker)
         rows = read_staged(spark, root, name)
         if rows is not None:
             write_deduped(dedup_table(rows, name), target, name)
             done.append(name)
+        mark(spark, marker)
     return done
 
 
@@ -69,13 +75,24 @@ class Loader:
                 getattr(self, f"_{name}")()
 
     def _merge(self, name: str, new: DataFrame, key: list[str], policy: str = U.REPLACE, with_ids: bool = True) -> None:
-        old = self.served(name)
+        """New keys are appended.  The table is written anew only where a row that it holds changes,
+        and not touched where none does and no key is new."""
+        old, path = self.served(name), f"{self.root}/{name}"
+        kinds = {f.name: f.dataType for f in SERVED[name].fields if not (with_ids and f.name == "id")}
+        typed = new.select(*[F.col(c).cast(k) if c in new.columns else F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
+        added, changed = U.changes(old.select(*kinds), typed, key, policy)
+        added, changed = cut(added, f"{name}-added"), cut(changed, f"{name}-changed")
         if with_ids:
-            ids = extend_ids(old, new, key)
-            new = new.join(ids, key)
-        columns = [F.col(f.name).cast(f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SERVED[name].fields]
-        merged = U.upsert(old, new.select(*columns), key, policy)
-        replace_table(merged.select(*SERVED[name].names), f"{self.root}/{name}")
+            highest = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+            added = assign_ids(added, key, highest).withColumn("id", F.col("id").cast(SERVED[name]["id"].dataType))
+        added = added.select(*SERVED[name].names)
+        if not changed.isEmpty():
+            rest = [c for c in kinds if c not in key]
+            now = changed.withColumn("_new", F.lit(True)).withColumnsRenamed({c: f"_{c}" for c in rest})
+            kept = old.join(now, key, "left").select(*[F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in SERVED[name].names])
+            replace_table(kept.unionByName(added), path)
+        elif not exists(self.spark, path) or not added.isEmpty():
+            append_table(added, path)
 
     def _containers(self) -> None:
         self._merge("containers", self.staged("containers"), ["label"], U.COALESCE)
@@ -135,12 +152,24 @@ def missed_histories(loader: Loader) -> int:
     return loader.staged("citation_histories").join(ids, ["page_id", "raw_sha1"], "left_anti").count()
 
 
-def build(spark: SparkSession, bundles: str, work: str, domain: str = DEFAULT_DOMAIN, stem: str = "run") -> Loader:
-    """All of it; a step that fails leaves the served tables as they were."""
-    stage(spark, bundles, f"{work}/staged", domain, stem)
-    dedup(spark, f"{work}/staged", f"{work}/deduped")
+def build(spark: SparkSession, bundles: str, work: str, domain: str = DEFAULT_DOMAIN, stem: str = "run", resume: bool = False) -> Loader:
+    """All of it; a step that fails leaves the served tables as they were.  To ``resume`` a run
+    that died passes over what it had done: the staging, the tables deduplicated and the
+    tables loaded."""
+    staged, marks = f"{work}/_done/staged-{stem}", f"{work}/_done/loaded-{stem}"
+    if not resume:
+        delete(spark, staged)
+        delete(spark, marks)
+        delete(spark, f"{work}/deduped/_done")
+    if not exists(spark, staged):
+        stage(spark, bundles, f"{work}/staged", domain, stem)
+        mark(spark, staged)
+    dedup(spark, f"{work}/staged", f"{work}/deduped", resume=True)
     loader = Loader(spark, f"{work}/deduped", f"{work}/served")
-    loader.load()
+    for name in LOAD_ORDER:
+        if not exists(spark, f"{marks}/{name}"):
+            loader.load([name])
+            mark(spark, f"{marks}/{name}")
     return loader
 
 

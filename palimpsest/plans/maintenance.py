@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import dangling, duplicate_keys
 from ..schemas import SERVED
-from ..sources.storage import delete, empty, exists, replace_table
+from ..sources.storage import delete, empty, exists, read_table, replace_table
 
 #: Children first: the order to drop and truncate in.
 CHILDREN_FIRST = (
@@ -59,7 +59,7 @@ def drop(spark: SparkSession, root: str, table: str | None = None) -> None:
 
 def violations(spark: SparkSession, root: str) -> DataFrame:
     """(check, n): repeated keys and references that lead nowhere, of those that there are."""
-    read = lambda name: spark.read.schema(SERVED[name]).parquet(f"{root}/{name}")
+    read = lambda name: read_table(spark, f"{root}/{name}", SERVED[name])
     there = {name for name in SERVED if exists(spark, f"{root}/{name}")}
     found = [duplicate_keys(read(t), k).agg(F.count("*").alias("n")).select(F.lit(f"{t}: repeated key").alias("check"), "n") for t, k in KEYS.items() if t in there]
     found += [dangling(read(t), c, read(p), k).agg(F.count("*").alias("n")).select(F.lit(f"{t}.{c}: no {p}").alias("check"), "n") for (t, c), (p, k) in PARENTS.items() if {t, p} <= there]

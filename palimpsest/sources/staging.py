@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.upsert import COALESCE, IGNORE, REPLACE, merged
 from ..schemas import STAGED
 from .storage import empty, exists
 
@@ -83,6 +87,36 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, **options
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch), **options).mode("append").save()
 
 
+def merge_statement(table: str, side: str, columns: list[str], key: list[str], policy: str) -> str:
+    """SQL that merges a side table into a keyed one, by the policies of ``operators.upsert``."""
+    rest = [c for c in columns if c not in key]
+    names, on = ", ".join(columns), ", ".join(key)
+    if policy == IGNORE or not rest:
+        action = "NOTHING"
+    else:
+        own = {REPLACE: "EXCLUDED.{0}", COALESCE: "COALESCE(EXCLUDED.{0}, {1}.{0})"}[policy]
+        action = "UPDATE SET " + ", ".join(f"{c} = {own.format(c, table)}" for c in rest)
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {side} WHERE true ON CONFLICT ({on}) DO {action}"
+
+
+def merge_jdbc(df: DataFrame, url: str, table: str, key: list[str], policy: str = REPLACE, batch: int = 5000, **options: str) -> None:
+    """Merge into a relational table with ON CONFLICT: rows, one a key, go in parallel to a side
+    table, and one statement takes them over, all or none."""
+    spark, side = df.sparkSession, f"{table}_{uuid.uuid4().hex[:12]}"
+    columns = df.columns
+    rows = merged(df.na.drop(subset=key), key, [c for c in columns if c not in key], policy).select(*columns)
+    write_jdbc(rows, url, side, batch, **options)
+    known = spark.sparkContext._jvm.java.util.Properties()
+    for name, value in options.items():
+        known.setProperty(name, value)
+    with contextlib.closing(spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url, known)) as connection:
+        statement = connection.createStatement()
+        try:
+            statement.executeUpdate(merge_statement(table, side, columns, key, policy))
+        finally:
+            statement.executeUpdate(f"DROP TABLE {side}")
+
+
 def staged_or_empty(spark: SparkSession, root: str, table: str) -> DataFrame:
     found = read_staged(spark, root, table)
     return empty(spark, STAGED[table]) if found is None else found

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.derive import DEFAULT_DOMAIN
-from ..operators.upsert import upsert
+from ..operators.upsert import changes, upsert
 from ..plans.build import Loader, dedup, stage
 from ..schemas import STAGED
 from ..sources.bundle import SUFFIX, read_bundles
-from ..sources.storage import read_table, replace_table
+from ..sources.storage import append_table, cut, read_table, replace_table
 
 
 def ingest_bundles(spark: SparkSession, folder: str, work: str, domain: str = DEFAULT_DOMAIN, files_a_batch: int = 64, load: bool = True) -> StreamingQuery:
@@ -55,7 +55,12 @@ def ingest_rows(spark: SparkSession, folder: str, table: str, target: str, check
     rows = spark.readStream.schema(STAGED[table]).parquet(folder)
 
     def batch(df: DataFrame, number: int) -> None:
-        replace_table(upsert(read_table(spark, target, STAGED[table]), df, key, policy), target)
+        old = read_table(spark, target, STAGED[table])
+        added, changed = (cut(x, table) for x in changes(old, df, key, policy))
+        if not changed.isEmpty():
+            replace_table(upsert(old, added.unionByName(changed), key), target)
+        elif not added.isEmpty():
+            append_table(added, target)
 
     return _run(rows, batch, checkpoint)
 

@@ -8,7 +8,7 @@ import zstandard
 from palimpsest.operators.dedup import parts_for
 from palimpsest.plans import build, maintenance, reports
 from palimpsest.schemas import SERVED, STAGED
-from palimpsest.sources import bundle, staging
+from palimpsest.sources import bundle, staging, storage
 from palimpsest.streaming.ingest import ingest_bundles, ingest_rows
 
 REVISIONS = [
@@ -125,7 +125,7 @@ def test_ingest_rows_merges(spark, tmp_path):
     for i, rows in enumerate(([("a", None), ("b", "g")], [("a", "h"), ("c", None)])):
         spark.createDataFrame(rows, STAGED["domains"]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         ingest_rows(spark, str(tmp_path / "in"), "domains", str(tmp_path / "out"), str(tmp_path / "cp"), ["value"], "coalesce")
-    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", "h"), ("b", "g"), ("c", None)}
+    assert {tuple(r) for r in storage.read_table(spark, str(tmp_path / "out"), STAGED["domains"]).collect()} == {("a", "h"), ("b", "g"), ("c", None)}
 
 
 def test_maintenance(spark, tmp_path):
@@ -134,7 +134,7 @@ def test_maintenance(spark, tmp_path):
     assert maintenance.create(spark, root) == []
     spark.createDataFrame([(1, "x", None, None)], SERVED["containers"]).write.mode("overwrite").parquet(f"{root}/containers")
     maintenance.truncate(spark, root, "containers")
-    assert spark.read.parquet(f"{root}/containers").count() == 0
+    assert storage.read_table(spark, f"{root}/containers", SERVED["containers"]).count() == 0
     maintenance.drop(spark, root, "domains")
     assert not (tmp_path / "domains").exists() and (tmp_path / "containers").exists()
     maintenance.drop(spark, root)
@@ -187,3 +187,121 @@ def test_jsonl(spark, tmp_path):
 
 def test_parts():
     assert [parts_for(n) for n in (0, 1, 5_000_000, 5_000_001, 20_000_001)] == [1, 1, 1, 2, 8]
+
+
+def rows_of(spark, path):
+    return sorted(tuple(r) for r in storage.read_table(spark, path, STAGED["domains"]).collect())
+
+
+def domains(spark, *values):
+    return spark.createDataFrame([(v, None) for v in values], STAGED["domains"])
+
+
+def test_tables_change_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert rows_of(spark, path) == []
+    storage.append_table(domains(spark, "a"), path)
+    storage.append_table(domains(spark, "b"), path)
+    assert rows_of(spark, path) == [("a", None), ("b", None)]
+    # A table may be read while it is replaced, by itself and by those that began before.
+    before = storage.read_table(spark, path, STAGED["domains"])
+    storage.replace_table(before.where("value = 'b'").unionByName(domains(spark, "c")), path)
+    assert rows_of(spark, path) == [("b", None), ("c", None)] and before.count() == 2
+
+    class Refusing:
+        """A file system whose renames fail without an error, as Hadoop's do."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda *_: False) if name == "rename" else getattr(self.fs, name)
+
+    real = storage._fs
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_fs", lambda spark, p: (Refusing(real(spark, p)[0]), real(spark, p)[1]))
+        for change in (storage.append_table, storage.replace_table):
+            with pytest.raises(RuntimeError):
+                change(domains(spark, "lost"), path)
+    assert rows_of(spark, path) == [("b", None), ("c", None)]
+    # A run that dies once its rows are written, and one that finds the table changed.
+    with monkeypatch.context() as m:
+        dead = domains(spark, "dead")
+        m.setattr(storage.json, "dumps", lambda x, **k: 1 / 0 if isinstance(x, list) else "")
+        with pytest.raises(ZeroDivisionError):
+            storage.append_table(dead, path)
+    assert rows_of(spark, path) == [("b", None), ("c", None)]
+    states, calls = storage._states, []
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_states", lambda *a: states(*a) if not calls.append(1) and len(calls) < 3 else ["_rows-999"])
+        with pytest.raises(RuntimeError, match="another run"):
+            storage.append_table(domains(spark, "late"), path)
+    storage.append_table(domains(spark, "d"), path)
+    assert rows_of(spark, path) == [("b", None), ("c", None), ("d", None)]
+    # Nothing is left of what no state or the last one names.
+    left = {p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")}
+    assert len([n for n in left if n.startswith("_rows-")]) == 2 and len([n for n in left if n.startswith("rows-")]) == 2
+
+
+def test_a_folder_without_a_list_is_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    domains(spark, "a").write.parquet(path)
+    storage.append_table(domains(spark, "b"), path)
+    assert rows_of(spark, path) == [("a", None), ("b", None)]
+    storage.append_table(domains(spark, "c"), path)
+    assert rows_of(spark, path) == [("a", None), ("b", None), ("c", None)]
+    assert not list((tmp_path / "t").glob("*.parquet"))
+
+
+def test_loads_write_what_changes(spark, bundles, tmp_path):
+    """New keys are appended, equal rows leave a table alone, a changed row rewrites its table."""
+    loader = build.build(spark, str(bundles), str(tmp_path / "work"))
+    state = lambda name: storage._states(spark, f"{loader.root}/{name}")
+    before = {name: state(name) for name in build.LOAD_ORDER}
+    loader.load()
+    assert before == {name: state(name) for name in build.LOAD_ORDER}
+    more = tmp_path / "more"
+    save(more, "three", [(4, 0, 40, None, "2020-03-01 00:00:00", REVISIONS[0][5])])
+    build.stage(spark, str(more), str(tmp_path / "staged"))
+    build.dedup(spark, str(tmp_path / "staged"), str(tmp_path / "deduped"))
+    again = build.Loader(spark, str(tmp_path / "deduped"), loader.root)
+    again.load()
+    after = {name: state(name) for name in build.LOAD_ORDER}
+    assert after["containers"] == before["containers"] and after["wiki_templates"] == before["wiki_templates"]
+    held = {n: storage._listed(spark, f"{loader.root}/{n}", after[n][-1]) for n in ("citation_history", "normalized_citations")}
+    # The citation is known, its page is another now: that table is one new folder; histories have one more.
+    assert len(held["citation_history"]) == 2 and len(held["normalized_citations"]) == 1
+    assert again.served("citation_history").count() == 5 and maintenance.violations(spark, loader.root).count() == 0
+
+
+def test_a_build_that_died_goes_on_where_it_was(spark, bundles, tmp_path, monkeypatch):
+    work = str(tmp_path / "work")
+    steps, load = [], build.Loader.load
+
+    def dying(self, tables=None):
+        steps.append(tables)
+        if tables == ["revisions"]:
+            raise KeyboardInterrupt
+        load(self, tables)
+
+    monkeypatch.setattr(build.Loader, "load", dying)
+    with pytest.raises(KeyboardInterrupt):
+        build.build(spark, str(bundles), work)
+    monkeypatch.setattr(build.Loader, "load", lambda self, tables=None: (steps.append(tables), load(self, tables)))
+    monkeypatch.setattr(build, "stage", lambda *_: pytest.fail("it is staged"))
+    monkeypatch.setattr(build, "write_deduped", lambda *_: pytest.fail("it is deduplicated"))
+    loader = build.build(spark, str(bundles), work, resume=True)
+    at = build.LOAD_ORDER.index("revisions")
+    assert steps == [[n] for n in (*build.LOAD_ORDER[: at + 1], *build.LOAD_ORDER[at:])]
+    assert loader.served("citation_history").count() == 4 and maintenance.violations(spark, loader.root).count() == 0
+
+
+@pytest.mark.parametrize("policy,expected", [("replace", [(1, "x", None), (2, "b", 2), (3, "n", 3)]), ("coalesce", [(1, "x", 1), (2, "b", 2), (3, "n", 3)]), ("ignore", [(1, "a", 1), (2, "b", 2), (3, "n", 3)])])
+def test_merge_statement(policy, expected):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table t (k int primary key, name varchar, n int); insert into t values (1, 'a', 1), (2, 'b', 2)")
+    con.execute("create table side as select * from (values (1, 'x', null::int), (3, 'n', 3)) v(k, name, n)")
+    con.execute(staging.merge_statement("t", "side", ["k", "name", "n"], ["k"], policy))
+    assert con.execute("select * from t order by k").fetchall() == expected
