@@ -67,6 +67,26 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _edges(o: np.ndarray, h: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and hashes that part a sample into ranges of like size."""
+    by = np.lexsort((h, o))
+    at = by[(np.arange(1, ranges) * len(by) // ranges)] if len(by) else by
+    o, h = o[at], h[at]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
+    return o[new], h[new]
+
+
+def _ranges(edges: tuple[np.ndarray, np.ndarray], o: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """How many edges come before each pair of key and hash."""
+    low, high = np.searchsorted(edges[0], o, "left"), np.searchsorted(edges[0], o, "right")
+    out = low.astype(np.int32)
+    for a in np.unique(low[high > low]):
+        at = np.flatnonzero((low == a) & (high > low))
+        out[at] += np.searchsorted(edges[1][a : high[at[0]]], h[at], "left").astype(np.int32)
+    return out
+
+
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
@@ -75,34 +95,35 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     comes first.  Null texts are empty.  A lone row is its own next.  Other columns
     are left aside, whatever their names; an empty table gives an empty result.
 
-    Rows go once over the network, to about sqrt(n) key ranges; the first row of
-    each range also goes to the end of the range before.  What the driver holds is
-    one key a range.
+    Rows go once over the network, to about sqrt(n) ranges of key and hash, so that rows of
+    one key may be in many; the first row of each range also goes to the end of the range
+    before.  What the driver holds is some keys a range.
     """
     spark = docs.sparkSession
     order = F.coalesce(F.col(key).cast("bigint"), F.lit(_LOW)).alias("o")
-    ids = docs.select(order)
-    n = ids.count()
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    ids = docs.select(order, F.xxhash64(body).alias("h"))
+    n = docs.count()
     ranges = max(1, int(np.ceil(np.sqrt(n))))
-    points = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]) if ranges > 1 else F.array(F.lit(0.5))
-    edges = np.unique(np.array(ids.agg(F.percentile_approx("o", points, 20 * ranges).alias("p")).first()["p"] or [], np.int64))
+    share = min(1.0, 32 * ranges / max(n, 1))
+    seen = ids.where(F.pmod(F.xxhash64("o", "h", F.lit(1)), F.lit(1 << 20)) <= int(share * (1 << 20))).toArrow()
+    edges = _edges(seen["o"].to_numpy(), seen["h"].to_numpy(), ranges)
 
     @F.pandas_udf("int")
-    def range_of(o: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, o.to_numpy(), side="left").astype(np.int32))
+    def range_of(o: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(_ranges(edges, o.to_numpy(), h.to_numpy()))
 
-    firsts = ids.groupBy(range_of("o").alias("r")).agg(F.min("o").alias("o")).orderBy("r").toArrow()
-    used, first = firsts["r"].to_numpy(), firsts["o"].to_numpy()
-    before = dict(zip(first.tolist(), np.roll(used, 1).tolist()))
+    firsts = ids.groupBy(range_of("o", "h").alias("r")).agg(F.min(F.struct("o", "h")).alias("f")).select("r", "f.*").orderBy("r").toArrow()
+    used = firsts["r"].to_numpy()
+    before = dict(zip(zip(firsts["o"].to_pylist(), firsts["h"].to_pylist()), np.roll(used, 1).tolist()))
 
     @F.pandas_udf("array<int>")
-    def places(o: pd.Series) -> pd.Series:
-        own = np.searchsorted(edges, o.to_numpy(), side="left").tolist()
-        return pd.Series([[r, before[x]] if x in before else [r] for r, x in zip(own, o.tolist())])
+    def places(o: pd.Series, h: pd.Series) -> pd.Series:
+        own = _ranges(edges, o.to_numpy(), h.to_numpy()).tolist()
+        return pd.Series([[r, before[x]] if x in before else [r] for r, x in zip(own, zip(o.tolist(), h.tolist()))])
 
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(order, F.col(key).alias("k"), body.alias("t"))
-    rows = rows.select("o", "k", "t", F.xxhash64("t").alias("h"), F.posexplode(places("o")).alias("guest", "r"))
+    rows = docs.select(order, F.col(key).alias("k"), body.alias("t"), F.xxhash64(body).alias("h"))
+    rows = rows.select("o", "k", "t", "h", F.posexplode(places("o", "h")).alias("guest", "r"))
     rows = rows.repartition("r").sortWithinPartitions("r", "guest", "o", "h")
     kind = docs.schema[key].dataType.simpleString()
     ddl = f"k {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

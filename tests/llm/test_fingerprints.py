@@ -69,3 +69,43 @@ def test_digest_codes_are_quartiles():
 def test_edits_are_nearer_than_strangers(documents):
     rows = [r for r in D.compare_with_next(documents).collect() if r.n_chars > 400]
     assert np.mean([r.near_edited for r in rows]) > np.mean([r.near_next for r in rows]) + 0.2
+
+
+def test_one_key_on_many_rows_is_many_ranges(spark):
+    rows = [(7, f"text {i} " * (i % 5 + 1)) for i in range(600)] + [(i, f"other {i}") for i in range(3, 12)] + [(7, "same")] * 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(repr(tuple(r)) for r in D.compare_with_next(df).collect()) == plain(hashed(df))
+    o = np.array([r[0] for r in rows])
+    h = np.array([hash(r[1]) for r in rows])
+    places = D._ranges(D._edges(o, h, 25), o, h)
+    assert np.bincount(places).max() < 100 and len(set(places.tolist())) > 20
+    order = np.lexsort((h, o))
+    assert (np.diff(places[order]) >= 0).all()
+
+
+def plain_digest(raw):
+    """(length code, proportions, codes of the buckets), number by number."""
+    import math
+
+    counts = [0] * 256
+    for i in range(len(raw) - 2):
+        counts[((raw[i] | raw[i + 1] << 8 | raw[i + 2] << 16) * 2654435761 & 0xFFFFFFFF) >> 24] += 1
+    if len(raw) < 3:
+        for x in raw:
+            counts[x] = 1
+    q1, q2, q3 = (sorted(counts)[k] for k in (63, 127, 191))
+    top = max(q3, 1)
+    return min(255, int(math.log1p(len(raw)) / math.log(1.1))), (q1 * 15 // top, q2 * 15 // top), [(c > q1) + (c > q2) + (c > q3) for c in counts]
+
+
+@given(st.binary(max_size=3000), st.binary(max_size=60))
+def test_digest_and_likeness_against_a_plain_version(a, b):
+    digests = []
+    for raw in (a, b):
+        length, (r1, r2), codes = plain_digest(raw)
+        packed = [codes[i] | codes[i + 1] << 2 | codes[i + 2] << 4 | codes[i + 3] << 6 for i in range(0, 256, 4)]
+        assert D.fingerprint(raw).tolist() == [length, r1 << 4 | r2, *packed]
+        digests.append((length, r1, r2, codes))
+    (l1, p1, q1, c1), (l2, p2, q2, c2) = digests
+    apart = sum({0: 0, 1: 1, 2: 2, 3: 6}[abs(x - y)] for x, y in zip(c1, c2)) + abs(l1 - l2) + abs(p1 - p2) + abs(q1 - q2)
+    assert abs(D.likeness(D.fingerprint(a), D.fingerprint(b)) - (1 - min(apart, 416) / 416)) < 1e-12
