@@ -51,7 +51,7 @@ def composed(text: str) -> str:
 class WordCodec:
     """Encodes and decodes as the tokenizer library does for a lower-casing BPE with word ends."""
 
-    def __init__(self, table: MergeTable, memo: int = 400_000) -> None:
+    def __init__(self, table: MergeTable, memo: int = 150_000) -> None:
         self.ranks, self.pairs, self.specials = table.ranks, table.pairs, table.specials
         self.token = {i: t for t, i in table.vocab.items()} | {i: t for t, i in table.specials.items()}
         letters = byte_letters()

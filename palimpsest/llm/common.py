@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import cut, scratch
 
-__all__ = ["CHUNK", "WORD", "Memo", "arrow_schema", "cut", "fold", "map_rows", "scratch", "slices"]
+__all__ = ["CHUNK", "WORD", "Memo", "arrow_schema", "cut", "fold", "map_rows", "scratch", "slices", "worker_state"]
 
 #: A word is a run of anything but space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +30,15 @@ CHUNK, CHUNK_BYTES = 512, 4 << 20
 _WORKER: dict = {}
 
 
+def worker_state(token: str, setup: Callable[[], object]) -> object:
+    """What ``setup`` made for ``token`` in this Python worker.  A worker serves many tasks and
+    holds one state at a time, so that those of earlier steps take no memory."""
+    if _WORKER.get("token") != token:
+        _WORKER.clear()
+        _WORKER.update(token=token, state=setup())
+    return _WORKER["state"]
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most CHUNK rows and CHUNK_BYTES of texts (a longer text
     is a part of its own), so that little becomes objects at once."""
@@ -57,9 +66,7 @@ def map_rows(
     token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if setup and _WORKER.get("token") != token:
-            _WORKER.update(token=token, state=setup())
-        state = (_WORKER["state"],) if setup else ()
+        state = (worker_state(token, setup),) if setup else ()
         for batch in slices(batches):
             got = fn(*state, *(c.to_pylist() for c in batch.columns))
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ small enough to broadcast to the tasks that score.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, Memo, fold, map_rows
+from .common import CHUNK, Memo, fold, map_rows, worker_state
 from .labelled import labelled_sample
 
 _EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»…“”‘’"
@@ -127,11 +128,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     row each, an empty table none.  Clashing columns named score or predicted are
     replaced; the others are left aside, or kept as they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        features, weights = _state(shared.value)
+        features, weights = worker_state(token, lambda: (Features(shared.value.bits), shared.value.dense()))
         margins = np.empty(len(texts))
         for i in range(0, len(texts), CHUNK):
             for k, t in enumerate(texts.slice(i, CHUNK).to_pylist(), i):
@@ -143,15 +144,5 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return base.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-_STATES: dict = {}
-
-
-def _state(model: Model) -> tuple[Features, np.ndarray]:
-    """A worker's tables for a broadcast model, made once."""
-    if _STATES.get("model") is not model:
-        _STATES.update(model=model, state=(Features(model.bits), model.dense()))
-    return _STATES["state"]
-
-
 def held_out(key: str = "doc_id") -> Column:
     return fold(key, 5) == 0
