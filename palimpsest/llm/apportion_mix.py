@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, of_texts
 
 #: The weights of the sources in turn, the share of all sizes that
 #: the mix takes, and how often a source may be taken.
@@ -153,6 +153,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def first_words(texts: pd.Series, most: pd.Series) -> pd.Series:
+        """As many words of each text; null texts stay null, and texts of fewer words whole."""
         word = re.compile(WORD)
 
         def begin(t: str | None, k: int) -> str | None:
@@ -163,7 +164,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
         return pd.Series([begin(t, k) for t, k in zip(texts, most)], dtype=object)
 
-    rows = mixed(docs).where("taken > 0")
+    rows = mixed(of_texts(docs)).where("taken > 0")
     times = F.expr("concat(array_repeat(size, cast(taken div size as int)), filter(array(taken % size), x -> x > 0))")
     rows = rows.withColumn("words", F.explode(times))
     part = F.col("words") < F.col("size")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import cut, scratch
 
-__all__ = ["CHUNK", "WORD", "Memo", "arrow_schema", "cut", "fold", "map_rows", "scratch", "slices", "worker_state"]
+__all__ = ["CHUNK", "WORD", "Memo", "arrow_schema", "cut", "fold", "map_rows", "of_texts", "scratch", "slices", "worker_state"]
 
 #: A word is a run of anything but space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +30,19 @@ CHUNK, CHUNK_BYTES = 512, 4 << 20
 _WORKER: dict = {}
 
 
+#: Spark's own number of rows in an Arrow batch, and the one for texts.
+_BATCH, _TEXTS = "10000", "1000"
+
+
+def of_texts(docs: DataFrame) -> DataFrame:
+    """``docs``, for work on their texts in Python: where the session leaves the size of Arrow batches
+    as it is, they become smaller, as a batch of long texts fills the memory beside the heap."""
+    conf = docs.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == _BATCH:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _TEXTS)
+    return docs
+
+
 def worker_state(token: str, setup: Callable[[], object]) -> object:
     """What ``setup`` made for ``token`` in this Python worker.  A worker serves many tasks and
     holds one state at a time, so that those of earlier steps take no memory."""
@@ -73,7 +86,7 @@ def map_rows(
                 [pa.array(v, type=f.type) for v, f in zip(got, arrow, strict=True)], schema=arrow
             )
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return of_texts(df).select(*columns).mapInArrow(run, schema)
 
 
 def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, Memo, fold, map_rows, worker_state
+from .common import CHUNK, Memo, fold, map_rows, of_texts, worker_state
 from .labelled import labelled_sample
 
 _EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»…“”‘’"
@@ -108,8 +108,16 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
         return hashes, [features.of(t).tobytes() for t in texts], ys
 
     def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = [(np.frombuffer(f, np.int32), y) for batch in batches for f, y in zip(batch["f"].to_pylist(), batch["y"].to_pylist())]
-        model = train(examples, params)
+        parts, cuts, ys = [np.zeros(0, np.int32)], [0], []
+        for batch in batches:
+            f = batch["f"].cast(pa.binary())
+            ends = np.frombuffer(f.buffers()[1], np.int32)[f.offset : f.offset + len(f) + 1] // 4
+            parts.append(np.frombuffer(f.buffers()[2] or b"", np.int32)[ends[0] : ends[-1]].copy())
+            cuts += (ends[1:].astype(np.int64) - int(ends[0]) + cuts[-1]).tolist()
+            ys += batch["y"].to_pylist()
+        flat = np.concatenate(parts)
+        parts.clear()
+        model = train([(flat[a:b], y) for a, b, y in zip(cuts, cuts[1:], ys)], params)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(model.at, -1).astype(np.int32)), pa.array(np.append(model.weight.astype(np.float64), model.bias))], names=["at", "w"])
 
     rows = map_rows(sample, featurised, ["h", "text", "y"], "h bigint, f binary, y double", lambda: Features(params.bits))
@@ -139,6 +147,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 margins[k] = weights[features.of(t)].sum(dtype=np.float64) + shared.value.bias
         return pa.array(1 / (1 + np.exp(-np.clip(margins, -35, 35))))
 
+    docs = of_texts(docs)
     value = scored(F.col(text).cast("string"))
     base = docs.withColumn("score", value) if keep else docs.select(F.col(key).alias(key), value.alias("score"))
     return base.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, cut, slices
+from .common import arrow_schema, cut, of_texts, slices
 
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 #: The rest of a tag up to its >; a quoted value, which may hold that, comes after =.
@@ -347,7 +347,7 @@ def extract_pages(
     """
     spark = pages.sparkSession
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select(F.col(key).alias("k"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"), host.alias("host"))
+    rows = of_texts(pages).select(F.col(key).alias("k"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"), host.alias("host"))
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Votes have no digests; a task adds up its own."""

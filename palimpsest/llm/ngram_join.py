@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, cut, slices
+from .common import Memo, cut, of_texts, slices
 
 #: Parts that a group's members are dealt into where each is given its least key.
 SALTS = 8
@@ -144,7 +144,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Param
     rows and ids are copies like any others; rows of one key with different texts
     stay apart.  Other columns are left aside; an empty table gives empty tables."""
     kind = docs.schema[key].dataType.simpleString()
-    kept = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
+    kept = of_texts(docs).select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bander = Shingler(params.n), Bander(params)

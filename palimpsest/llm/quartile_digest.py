@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, slices
+from .common import arrow_schema, of_texts, slices
 
 BUCKETS = 256
 #: What two unrelated texts differ by on average, or more: likeness 0.
@@ -99,7 +99,7 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     one key may be in many; the first row of each range also goes to the end of the range
     before.  What the driver holds is some keys a range.
     """
-    spark = docs.sparkSession
+    spark = of_texts(docs).sparkSession
     order = F.coalesce(F.col(key).cast("bigint"), F.lit(_LOW)).alias("o")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     ids = docs.select(order, F.xxhash64(body).alias("h"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, cut, fold, slices
+from .common import CHUNK, cut, fold, of_texts, slices
 from .labelled import labelled_sample
 
 STATISTICS = (
@@ -144,7 +144,7 @@ def isotonic(weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     """Learn from the bounded sample of rows outside the held-out fold.  Without any,
     every score is 0.5."""
-    sample = labelled_sample(docs, labels, "quality", 4, 2, params.sample)
+    sample = labelled_sample(of_texts(docs), labels, "quality", 4, 2, params.sample)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -205,6 +205,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         parts = [shared.value.score(_table(texts.slice(i, CHUNK).to_pylist())) for i in range(0, len(texts), CHUNK)]
         return pa.array(np.concatenate(parts) if parts else np.empty(0))
 
+    docs = of_texts(docs)
     value = scored(F.col(text).cast("string"))
     base = docs.withColumn("score", value) if keep else docs.select(F.col(key).alias(key), value.alias("score"))
     return base.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
