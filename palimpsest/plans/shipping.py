@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -18,7 +20,9 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
-    target = os.path.join(tempfile.mkdtemp(prefix="palimpsest-"), "palimpsest.zip")
+    folder = tempfile.mkdtemp(prefix="palimpsest-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "palimpsest.zip")
     with zipfile.ZipFile(target, "w") as z:
         for path in sorted(root.rglob("*.py")):
             z.write(path, path.relative_to(root.parent))

@@ -21,7 +21,7 @@ from ..functions.udfs import normalize, parsed
 from ..operators import derive as D
 from ..sources import bundle, staging
 from ..sources.storage import cut, delete_at_exit, scratch
-from . import adapter
+from . import adapter, reports
 from .registry import registered
 
 _COLUMN = re.compile(r"«(\w+)»")
@@ -209,7 +209,7 @@ _RAW = "<ref name=r«m»>{{cite_web|title= T«m» |url=http://h«h».example/«m
 _FORM = '<ref name="r«m»">{{Cite web|title=T«m»|url=http://h«h».example/«m»}}</ref>'
 _LINK = "http://U@p«h».example:80/x"
 #: Orders as revisions: every fourth holds no reference, the others two.
-_REVISED = f"""
+REVISED = f"""
 , y AS (
   SELECT revision_id, page_id, parent_revision_id, revision_timestamp, revision_id % 50 AS m, revision_id % 7 AS h, revision_id % 4 <> 0 AS cited,
          (revision_id % 3)::INT AS ns FROM x_rev
@@ -259,16 +259,29 @@ def _derived_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 for _name, _sql in _DERIVED.items():
-    registered(f"derive_{_name}", _REVISED + _sql)(_derived_query(_name))
+    registered(f"derive_{_name}", REVISED + _sql)(_derived_query(_name))
 
 
-@registered("derive_row_counts", _REVISED + "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM ({q})" for t, q in _DERIVED.items()))
+@registered("derive_row_counts", REVISED + "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM ({q})" for t, q in _DERIVED.items()))
 def derive_row_counts(spark: SparkSession, d: str) -> DataFrame:
     revisions = revised(spark, d)
     refs = cut(D.references(revisions, _WIKI), "references")
     return D.row_counts(D.derive(revisions, refs, _WIKI))
 
 
+_AS_OF = "1997-06-30 00:00:00"
+
+
+@registered("page_references", REVISED + f"""
+SELECT title, '{_AS_OF}' AS as_of, y.page_id, revision_id, revision_timestamp,
+       CASE WHEN cited THEN {sql_text(_RAW)} || chr(10) || chr(10) || {sql_text(_LINK)} ELSE '' END AS plain
+FROM y JOIN x_title USING (page_id) WHERE page_id = 22 AND revision_timestamp <= '{_AS_OF}' ORDER BY revision_timestamp DESC, revision_id DESC LIMIT 1""")
+def page_references(spark: SparkSession, d: str) -> DataFrame:
+    """A page's references as it stood at a time, by its title."""
+    got = reports.page_references(revised(spark, d), adapter.titles(spark, d), "Customer#000000022", _AS_OF, adapter.WIKI)
+    return got.select("title", "as_of", "page_id", "revision_id", "revision_timestamp", "plain")
+
+
 # -- sources ----------------------------------------------------------------------------------
 
 
@@ -278,18 +291,22 @@ def _folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-@registered("bundle_source", _REVISED + f"""
+def bundle_lines(rows: DataFrame) -> DataFrame:
+    """Revisions with texts of one line as rows of bundles."""
+    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    stamp = F.concat(F.translate("revision_timestamp", " ", "T"), F.lit("Z"))
+    numbers = (("page_id", "page_id"), ("ns", "namespace_id"), ("rev_id", "revision_id"), ("parent_rev_id", "parent_revision_id"))
+    head = F.concat(*[x for k, c in numbers for x in (F.lit(f" {k}="), number(c))], F.lit(" timestamp="), stamp)
+    return rows.select(F.concat(F.lit("#"), head, F.lit("\n "), "revision_text").alias("value"))
+
+
+@registered("bundle_source", REVISED + f"""
 SELECT page_id, ns AS namespace_id, revision_id, parent_revision_id, revision_timestamp,
        CASE WHEN cited THEN {sql_text(f'Text {_RAW} and {_LINK}')} ELSE 'no reference here' END AS revision_text FROM y""")
 def bundle_source(spark: SparkSession, d: str) -> DataFrame:
     """Revisions written as bundles and read again: a line for the head, then the text's lines."""
-    rows = revised(spark, d)
-    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    stamp = F.concat(F.translate("revision_timestamp", " ", "T"), F.lit("Z"))
-    head = F.concat(*[x for k, c in (("page_id", "page_id"), ("ns", "namespace_id"), ("rev_id", "revision_id"), ("parent_rev_id", "parent_revision_id")) for x in (F.lit(f" {k}="), number(c))], F.lit(" timestamp="), stamp)
-    lines = rows.select(F.concat(F.lit("#"), head, F.lit("\n "), "revision_text").alias("value"))
     path = _folder(spark, "bundles")
-    lines.write.option("compression", "gzip").text(path)
+    bundle_lines(revised(spark, d)).write.option("compression", "gzip").text(path)
     return bundle.read_bundles(spark, path, suffix=".txt.gz").drop("source_file")
 
 

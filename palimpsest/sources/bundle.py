@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 from ..schemas import REVISION
 
 SUFFIX = ".mwrev.zst"
+#: Compressions of which Spark reads a file as a whole, in one task.
+WHOLE = (".zst", ".gz", ".deflate")
 
 
 class RevisionParser:
@@ -76,12 +78,15 @@ def render(revisions: Iterable[tuple]) -> str:
     return "".join(out)
 
 
-def read_bundles(spark: SparkSession, path: str, suffix: str = SUFFIX) -> DataFrame:
-    """REVISION rows and ``source_file`` of every bundle under ``path``.
+def read_bundles(spark: SparkSession, path: str | list[str], suffix: str = SUFFIX) -> DataFrame:
+    """REVISION rows and ``source_file`` of every bundle under ``path``, one or more.
 
     Only Spark opens the files, so any store it knows will do.  A compressed file is one
-    task and streams through it; its lines keep their order there.
+    task and streams through it; its lines keep their order there.  Files that Spark would
+    split, and so cut revisions, are refused.  A number in a head that is none ends the job.
     """
+    if not suffix.endswith(WHOLE):
+        raise ValueError(f"bundles end in one of {WHOLE}, as others may be split between revisions")
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").text(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("source_file"))
     schema = StructType.fromDDL(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REVISION.fields) + ", source_file string")

@@ -14,6 +14,12 @@ from ..schemas import STAGED
 from .storage import empty, exists
 
 ROWS_A_FILE = 1_000_000
+#: Rows of a group in deduplicated tables, by table.
+ROWS_A_GROUP = {
+    "containers": 100_000, "domains": 100_000, "documents": 100_000, "web_resources": 500_000, "normalized_citations": 500_000,
+    "citation_instances": 500_000, "citation_histories": 1_000_000, "revisions": 500_000, "ncwr": 500_000, "wiki_templates": 100_000,
+    "template_data": 500_000,
+}
 ROWS_A_SHARD = 2_000_000
 
 
@@ -37,8 +43,9 @@ def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame | None:
 
 
 def write_deduped(df: DataFrame, root: str, table: str, block_mb: int = 128) -> None:
-    """One Parquet folder a table."""
-    df.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", block_mb << 20).parquet(f"{root}/{table}")
+    """One Parquet folder a table; a row group ends at so many rows, or so many bytes if these come first."""
+    options = {"compression": "zstd", "parquet.block.size": str(block_mb << 20), "parquet.block.row.count.limit": str(ROWS_A_GROUP[table])}
+    df.write.mode("overwrite").options(**options).parquet(f"{root}/{table}")
 
 
 def write_jsonl(df: DataFrame, path: str, rows_a_file: int = ROWS_A_SHARD, codec: str = "gzip") -> None:

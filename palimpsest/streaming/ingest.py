@@ -19,7 +19,7 @@ from ..sources.bundle import SUFFIX, read_bundles
 from ..sources.storage import append_table, cut, read_table, replace_table
 
 
-def ingest_bundles(spark: SparkSession, folder: str, work: str, domain: str = DEFAULT_DOMAIN, files_a_batch: int = 64, load: bool = True) -> StreamingQuery:
+def ingest_bundles(spark: SparkSession, folder: str, work: str, domain: str = DEFAULT_DOMAIN, files_a_batch: int = 64, load: bool = True, suffix: str = SUFFIX) -> StreamingQuery:
     """Stage every bundle of ``folder`` that has not been staged yet, and load what is new.
 
     Files are found as a stream; a batch parses its files whole, so that a file's
@@ -27,7 +27,7 @@ def ingest_bundles(spark: SparkSession, folder: str, work: str, domain: str = DE
     names = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", f"*{SUFFIX}")
+        .option("pathGlobFilter", f"*{suffix}")
         .option("maxFilesPerTrigger", files_a_batch)
         .load(folder)
         .select("path")
@@ -38,9 +38,7 @@ def ingest_bundles(spark: SparkSession, folder: str, work: str, domain: str = DE
         paths = [r["path"] for r in df.collect()]
         if not paths:
             return
-        revisions = read_bundles(spark, paths[0])
-        for path in paths[1:]:
-            revisions = revisions.unionByName(read_bundles(spark, path))
+        revisions = read_bundles(spark, paths, suffix)
         source = f"{work}/batches/{number}"
         stage(spark, revisions.drop("source_file"), source, domain, f"batch{number}")
         dedup(spark, source, f"{work}/deduped/{number}")
