@@ -24,24 +24,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import cut, fold, slices
+from .common import cut, fold, of_texts, slices
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Hashes that stand for the end and the start of a text; words have those of ``word_keys``.
-END, START = 0x452821E638D01377, 0x13198A2E03707344
+#: Hashes that stand for the end and the start of a text, and for what parts stretches of texts;
+#: words have those of ``word_keys``.
+END, START, APART = 0x452821E638D01377, 0x13198A2E03707344, 0xA4093822299F31D0
 #: A context's hash is a polynomial of its words' hashes in this base, the last word's first.
 _BASE = 0xD6E8FEB86659FD93
 _UNBASE = pow(_BASE, -1, 1 << 64)
-#: Bits of a filter: sixteen an entry, between these; what it lets through in error goes at
+#: Bits of a filter: sixteen an entry, and between these powers of two; what it lets through in error goes at
 #: the exact joins after it.
-_LEAST_BITS, _MOST_BITS = 1 << 16, 1 << 28
+_LEAST_BITS, _MOST_BITS = 16, 28
 #: Parts that a context's followers are dealt into where they meet what is known of it.
 SALTS = 8
 #: Contexts, of forty bytes or less, that go to every task.
 _FEW = 500_000
-#: Words that a task works on at a time, pairs that it gathers before it counts them, and counts
-#: that it gathers before it gives them.
-_WORDS, _PAIRS, _COUNTS = 1 << 19, 1 << 20, 1 << 21
+#: Words that a task works on at a time, and pairs that it gathers before it counts them.
+_WORDS, _PAIRS = 1 << 19, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class Params:
     smooths the states.  ``counted`` words and ``terms`` of states are held by the tasks; all
     others are joined."""
 
-    counted: int = 1_000_000
+    counted: int = 500_000
     least: int = 50
     follow: int = 8
     divergence: float = 0.01
@@ -62,6 +62,10 @@ class Params:
     prior: float = 100.0
     terms: int = 2_000_000
 
+    def __post_init__(self) -> None:
+        if self.follow > self.least:
+            raise ValueError("a context is counted as what follows a shorter one: least is not below follow")
+
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -114,24 +118,27 @@ def word_keys(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 class Table:
     """Values of distinct 64-bit keys, for many at once.  A key stands at its slot or in the
-    next free place after it; no key is 0."""
+    next free place after it; no key is 0.  A filter tells most keys that are not there."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         keys = keys.view(np.uint64)
-        self.slots = np.uint64(len(keys) * 3 // 2 + 16)
+        self.slots = np.uint64(len(keys) * 5 // 2 + 16)
         slot = self._slot(keys)
         order, place = np.argsort(slot, kind="stable"), np.arange(len(keys))
         at = np.maximum.accumulate(slot[order] - place) + place
         size = max(int(self.slots), at[-1] + 1 if len(at) else 0) + 1
         self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, values.dtype)
         self.keys[at], self.values[at] = keys[order], values[order]
+        self.filter = Filter.of(keys)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * _MIX >> np.uint64(32)) * self.slots >> np.uint64(32)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, -1 if it is not there."""
-        out, rest, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._slot(keys)
+        out, rest = np.full(len(keys), -1, np.int64), np.flatnonzero(self.filter.passes(keys))
+        keys = keys[rest]
+        at = self._slot(keys)
         while len(rest):
             there = self.keys[at]
             hit = there == keys
@@ -144,17 +151,28 @@ class Table:
 class Filter:
     """Which 64-bit keys may be in a set; its size follows the set's, up to a bound."""
 
-    def __init__(self, keys: DataFrame | None = None, column: str = "c") -> None:
-        if keys is None:
-            self.bits, self.shift = np.zeros(_LEAST_BITS // 64, np.uint64), np.uint64(64 - _LEAST_BITS.bit_length() + 1)
-            return
-        size = 1 << max(_LEAST_BITS.bit_length() - 1, min(_MOST_BITS.bit_length() - 1, (16 * keys.count()).bit_length()))
-        self.shift = np.uint64(64 - size.bit_length() + 1)
-        slot = F.shiftrightunsigned(column, int(self.shift))
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.shift = bits, np.uint64(64 - (len(bits) * 64).bit_length() + 1)
+
+    @staticmethod
+    def _size(n: int) -> int:
+        return 1 << min(max((16 * n).bit_length(), _LEAST_BITS), _MOST_BITS)
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> Filter:
+        out = cls(np.zeros(cls._size(len(keys)) // 64, np.uint64))
+        slot = keys >> out.shift
+        np.bitwise_or.at(out.bits, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+        return out
+
+    @classmethod
+    def made(cls, keys: DataFrame, column: str = "c") -> Filter:
+        """Of a table's keys: its tasks set the bits, the driver sees no key."""
+        out = cls(np.zeros(cls._size(keys.count()) // 64, np.uint64))
+        slot = F.shiftrightunsigned(column, int(out.shift))
         words = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toArrow()
-        bits = np.zeros(size // 64, np.int64)
-        bits[words["w"].to_numpy()] = words["bits"].to_numpy()
-        self.bits = bits.view(np.uint64)
+        out.bits[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+        return out
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
         slot = keys >> self.shift
@@ -210,77 +228,90 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
             at = stop
 
 
-def _places(starts: np.ndarray) -> np.ndarray:
-    """The place of each word in its text."""
+def _places(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The place of each word in its text, or in its stretch where these begin with APART, at -1."""
+    if len(words) and words[0] == APART:
+        starts = np.append(np.flatnonzero(words == np.uint64(APART)), len(words))
+        return np.arange(len(words)) - np.repeat(starts[:-1], np.diff(starts)) - 1
     return np.arange(starts[-1]) - np.repeat(starts[:-1], np.diff(starts))
 
 
+#: Words of a row of stretches, about.
+_ROW = 2048
+
+
+def stretches(texts: DataFrame, pairs: Filter) -> DataFrame:
+    """Column w: the stretches of encoded texts in which every pair of neighbours passes ``pairs``, of
+    three words or more, each with the word after it and APART before it, many to a row.  All that
+    follows contexts of three words or more, of frequent pairs, is here."""
+    shared = texts.sparkSession.sparkContext.broadcast(pairs)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, words, starts in _sequences(batches):
+            inside = np.zeros(len(words) + 2, bool)  # whether a word and the one before it pass
+            inside[1:-2] = shared.value.passes(longer(words[1:], words[:-1], 2)) & (words[1:] != np.uint64(END))
+            inside[starts[:-1]] = False
+            first = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+            past = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+            long = past - first >= 2
+            first, past = first[long], past[long]
+            sizes = past - first + 3  # with the word before the first pair, the one after the last, and APART
+            ends = np.cumsum(sizes)
+            out = words[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(first - 2, sizes)]
+            out[ends - sizes] = APART
+            new = np.flatnonzero(np.diff(ends // _ROW, prepend=0))
+            cuts = np.unique(np.concatenate([[0], ends[new], ends[-1:]])).astype(np.int64)
+            w = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 8).astype(np.int32)), pa.py_buffer(out)])
+            yield pa.RecordBatch.from_arrays([w], names=["w"])
+
+    return cut(texts.select("w").mapInArrow(found, "w binary"), "lm-stretches")
+
+
 def _counted(texts: DataFrame, found: Callable) -> DataFrame:
     """(kind, a, b, n): how often each pair occurs that ``found`` gives, by kinds, for words and
     their places; a task counts its own before they are shuffled."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple[np.ndarray, np.ndarray]]] = []
-        packed: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
 
-        def pack() -> int:
+        def give() -> Iterator[pa.RecordBatch]:
             for kind, pairs in enumerate(zip(*held)):
-                packed.setdefault(kind, []).append(_summed(*map(np.concatenate, zip(*pairs))))
+                a, b = map(np.concatenate, zip(*pairs))
+                z = followed(a, b)
+                order = np.argsort(z)
+                z = z[order]
+                first = np.flatnonzero(np.diff(z, prepend=~z[:1]))
+                n, at = np.diff(first, append=len(z)).astype(np.int64), order[first]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(n)], names=["kind", "a", "b", "n"])
             held.clear()
-            return sum(len(n) for counts in packed.values() for _, _, n in counts)
-
-        def give() -> Iterator[pa.RecordBatch]:
-            for kind, counts in packed.items():
-                a, b, n = _summed(*map(np.concatenate, zip(*counts)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n)], names=["kind", "a", "b", "n"])
-            packed.clear()
 
         gathered = 0
         for _, words, starts in _sequences(batches):
-            held.append(found(words, _places(starts)))
+            held.append(found(words, _places(words, starts)))
             gathered += sum(len(a) for a, _ in held[-1])
             if gathered > _PAIRS:
+                yield from give()
                 gathered = 0
-                if pack() > _COUNTS:
-                    yield from give()
-        pack()
         yield from give()
 
     return texts.select("w").mapInArrow(counted, "kind tinyint, a bigint, b bigint, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each pair once, and how often it occurs: ``n`` times where it stands, or once."""
-    z = followed(a, b)
-    order = np.argsort(z)
-    z = z[order]
-    first = np.flatnonzero(np.diff(z, prepend=~z[:1]))
-    if n is None:
-        total = np.diff(first, append=len(z)).astype(np.int64)
-    else:
-        total = np.add.reduceat(n[order], first) if len(first) else n
-    at = order[first]
-    return a[at], b[at], total
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """(key, n): occurrences of each word, and of the end, in encoded texts."""
     found = lambda words, place: [(np.zeros(int((place > 0).sum()), np.uint64), words[place > 0])]
     return _counted(texts, found).select(F.col("b").alias("key"), "n")
 
 
-def _walk(words: np.ndarray, place: np.ndarray, kept: list[Filter], depth: int, pairs: Filter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _walk(words: np.ndarray, place: np.ndarray, kept: list[Filter], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position, context of ``depth`` words before it, its suffix) where all suffixes pass the
-    filters of the states of their lengths, and the context's first two words that of ``pairs``."""
+    filters of the states of their lengths."""
     at = np.flatnonzero(place >= depth)
     context = suffix = np.zeros(len(at), np.uint64)
     for d in range(1, depth + 1):
         if d > 1:
             inside = kept[d - 2].passes(context)
             at, context = at[inside], context[inside]
-        if d == depth and pairs is not None:
-            inside = pairs.passes(longer(words[at - d + 1], words[at - d], 2))
-            at, context = at[inside], context[inside]
         suffix, context = context, longer(context, words[at - d], d)
     return at, context, suffix
 
@@ -318,14 +349,15 @@ def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) ->
     above = words.select(F.lit(0).cast("bigint").alias("s"), F.col("key").alias("x"), F.log((F.col("n") + 0.1) / F.lit(whole)).alias("below"))
     kept: list[Filter] = []
     open_, pairs, tested_before, depth = None, None, None, 1
+    where = texts
     while True:
-        shared = spark.sparkContext.broadcast((kept, open_, pairs, tested_before, Filter(heavy)))
+        shared = spark.sparkContext.broadcast((kept, open_, tested_before, Filter.made(heavy)))
 
         def following(words: np.ndarray, place: np.ndarray, shared=shared, depth=depth) -> list[tuple[np.ndarray, np.ndarray]]:
             """Pairs of contexts and the words after them; and, from three words on, of contexts and
             suffixes, of contexts that have not been counted yet: what precedes their last word was not tested."""
-            kept, open_, pairs, tested, known = shared.value
-            at, context, suffix = _walk(words, place, kept, depth, pairs)
+            kept, open_, tested, known = shared.value
+            at, context, suffix = _walk(words, place, kept, depth)
             inside = known.passes(context)
             new = np.zeros(len(at), bool)
             if depth > 2:
@@ -338,7 +370,7 @@ def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) ->
                 at, context = at[inside], context[inside]
             return [(context, words[at]), totals]
 
-        counts = _counted(texts, following).where((F.col("kind") > 0) | (F.col("n") >= params.follow))
+        counts = _counted(where, following).where((F.col("kind") > 0) | (F.col("n") >= params.follow))
         if depth > 2:
             counts = cut(counts, "lm-counts")
             own = counts.where((F.col("kind") == 1) & (F.col("n") >= params.least)).select(F.col("a").alias("c"), F.col("b").alias("s"), F.col("n").alias("total"))
@@ -347,6 +379,7 @@ def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) ->
             return
         followers = counts.where("kind = 0").select(F.col("a").alias("c"), F.col("b").alias("x"), "n")
         followers = cut(followers.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int")), "lm-pairs")
+        shared.destroy()  # what was counted with it is written
         own = followers.groupBy("c").agg(F.sum("n").alias("own"))
         # What a state leaves to its suffix: the prior, and its rarer followers' share.
         left = F.col("total") - F.coalesce("own", F.lit(0)) + params.prior
@@ -366,11 +399,11 @@ def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) ->
         if states.isEmpty():
             return
         level = cut(_met(seen, states.select("c"), few).drop("salt"), "lm-level")
-        kept = [*kept, Filter(states)]
+        kept = [*kept, Filter.made(states)]
         above = level.select(F.col("c").alias("s"), "x", F.col("lp").alias("below"))
         yield states, level.drop("s")
         # What does not follow a suffix often enough does not follow the context so.
-        open_ = Filter(followers.select(_term("c", "x").alias("c")))
+        open_ = Filter.made(followers.select(_term("c", "x").alias("c")))
         tested_before = None
         if (n := heavy.count()) <= params.terms:
             tested_before = Table(heavy.select("c").toArrow()["c"].to_numpy(), np.zeros(n, bool))
@@ -378,9 +411,12 @@ def levels(texts: DataFrame, words: DataFrame, whole: float, params: Params) ->
         ahead = followers.where((F.col("n") >= params.least) & (F.col("x") != _long(END))).join(heavy.select("c", "s"), "c")
         last = F.col("x") if depth == 1 else _ahead("s", "x")
         ahead = cut(ahead.select(_ahead("c", "x").alias("c"), last.alias("s"), F.col("n").alias("total")), "lm-ahead")
-        pairs = Filter(ahead) if depth == 1 else pairs
+        pairs = Filter.made(ahead) if depth == 1 else pairs
         heavy = cut(ahead.join(states.select(F.col("c").alias("s")), "s", "left_semi").select("c", "s", "total"), "lm-contexts")
         depth += 1
+        if depth == 3:
+            # From here on only stretches of frequent pairs are of use, a small part of the texts.
+            where = stretches(texts, pairs)
 
 
 def _long(key: int) -> Column:
@@ -402,7 +438,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     """
     kind = docs.schema[key].dataType.simpleString()
     spark = docs.sparkSession
-    texts = encoded(docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), fold(key, folds).alias("f")))
+    texts = encoded(of_texts(docs).select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), fold(key, folds).alias("f")))
     training = texts.where("f > 0").select("w")
     counts = cut(word_counts(training), "lm-words")
     distinct, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -410,19 +446,19 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     log10 = 1 / math.log(10)
     terms, kept = None, []
     for states, level in levels(training, counts, whole, params):
-        kept.append(Filter(states))
+        kept.append(Filter.made(states))
         own = states.select(F.col("c").alias("z"), (F.col("back") * log10).alias("g"), F.lit(1 << 62).alias("n"))
         own = own.union(level.select(_term("c", "x"), (F.col("lp") - F.col("below") - F.col("back")) * log10, "n"))
         terms = own if terms is None else terms.union(own)
     terms = cut(terms if terms is not None else counts.limit(0).select(F.col("key").alias("z"), F.lit(0.0).alias("g"), "n"), "lm-terms")
     words, _ = _commonest(counts.select("key", F.col("n").alias("g"), "n"), params.counted, np.int64)
     held, others = _commonest(terms, params.terms, np.float32)
-    shared = spark.sparkContext.broadcast((words, kept, held, None if others is None else Filter(others, "z")))
+    shared = spark.sparkContext.broadcast((words, kept, held, None if others is None else Filter.made(others, "z")))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, kept, held, rest = shared.value
         for batch, w, starts in _sequences(batches):
-            n, place = batch.num_rows, _places(starts)
+            n, place = batch.num_rows, _places(w, starts)
             row = np.repeat(np.arange(n), np.diff(starts))
             inner = place > 0
             found = words.find(w[inner])
@@ -486,6 +522,8 @@ def _commonest(rows: DataFrame, most: int, kind: type) -> tuple[Table, DataFrame
     held = rows.where(F.col("n") >= least) if least is not None else rows.limit(0)
     got = held.select(key, "g").toArrow()
     table = Table(got[key].to_numpy(), got["g"].to_numpy().astype(kind))
+    del got
+    pa.default_memory_pool().release_unused()
     return table, None if size <= most else rows.where(F.col("n") < least) if least is not None else rows
 
 

@@ -92,8 +92,9 @@ def test_tables_and_filters(spark):
         at = table.find(keys)
         assert (at[: len(some)] >= 0).all() and (at[len(some) :] < 0).all()
         assert (table.values[at[: len(some)]] == np.arange(len(some))).all() and (table.find(keys + np.uint64(1)) < 0).all()
-    held = S.Filter(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)[:2000]], "c bigint"))
-    assert held.passes(keys[:2000]).all() and held.passes(keys[2000:]).mean() < 0.1 and not S.Filter().passes(keys).any()
+    held = S.Filter.made(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)[:2000]], "c bigint"))
+    assert held.passes(keys[:2000]).all() and held.passes(keys[2000:]).mean() < 0.1
+    assert np.array_equal(held.bits, S.Filter.of(keys[:2000]).bits) and not S.Filter.of(keys[:0]).passes(keys).any()
 
 
 def test_words_of_bytes():
@@ -113,16 +114,41 @@ def test_words_of_bytes():
     assert len(set(of.values())) == len(of) > 1000 and not {S.START, S.END} & set(of.values())
 
 
+def test_stretches_hold_what_follows_longer_contexts(spark):
+    """Against all places of texts after three words of which each pair is frequent."""
+    import random
+
+    rng = random.Random(2)
+    texts = [[S.START, *(rng.randrange(1, 7) for _ in range(rng.randrange(0, 60))), S.END] for _ in range(300)]
+    wanted = {(a, b) for a in range(1, 7) for b in range(1, 7) if (a * b) % 3} | {(S.START, 2), (S.START, 4)}
+    hashes = S.longer(np.array([b for _, b in wanted], np.uint64), np.array([a for a, _ in wanted], np.uint64), 2)
+    packed = [(np.array(t, np.uint64).tobytes(),) for t in texts]
+    rows = S.stretches(spark.createDataFrame(packed * 20, "w binary"), S.Filter.of(hashes)).collect()
+    got, expected = [], []
+    for r in rows:
+        words = np.frombuffer(r.w, np.uint64)
+        place = S._places(words, np.array([0, len(words)]))
+        got += [tuple(words[i - 3 : i + 1].tolist()) for i in np.flatnonzero(place >= 3)]
+        assert words[0] == S.APART and len(words) < 4 * S._ROW
+    for t in texts * 20:
+        expected += [tuple(t[i - 3 : i + 1]) for i in range(3, len(t)) if (t[i - 3], t[i - 2]) in wanted and (t[i - 2], t[i - 1]) in wanted]
+    missed = Counter(expected) - Counter(got)
+    assert expected and not missed
+    # What a filter lets through in error may be there beside; nothing stands there more often than in the texts.
+    every = Counter(tuple(t[i - 3 : i + 1]) for t in texts * 20 for i in range(3, len(t)))
+    assert not Counter(got) - every
+
+
 def test_contexts_stay_within_their_text():
     words, starts = np.array([9, 5, 6, 9, 7], np.uint64), np.array([0, 3, 5])
-    place = S._places(starts)
+    place = S._places(words, starts)
     assert place.tolist() == [0, 1, 2, 0, 1]
 
     class Every:
         def passes(self, keys):
             return np.ones(len(keys), bool)
 
-    at, context, suffix = S._walk(words, place, [Every()], 2, Every())
+    at, context, suffix = S._walk(words, place, [Every()], 2)
     one = S.longer(np.zeros(1, np.uint64), words[1:2], 1)
     assert at.tolist() == [2] and suffix.tolist() == one.tolist() and context.tolist() == S.longer(one, words[:1], 2).tolist()
 
