@@ -353,10 +353,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", param
         .select("mark", F.col("id").alias("copy_id"), F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     about = cut(about, "join-about")
-    # Rows without n-grams meet nothing; those of a hot class adaptive execution can split.
-    lone = got.rows.where("mark is null").select("mark", "id", "h", *[F.lit(None).cast(about.schema[c].dataType).alias(c) for c in about.columns[1:]])
-    rows = got.rows.where("mark is not null").join(about, "mark", "left").select(*lone.columns).union(lone)
-    return rows.select(
+    return _by_mark(got.rows, about).select(
         F.col("id").alias(key),
         F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -364,6 +361,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", param
     )
 
 
+def _by_mark(rows: DataFrame, about: DataFrame) -> DataFrame:
+    """``rows`` with what ``about`` has of their classes, if anything.  A class may hold a good part of
+    all rows, so these meet it in salts; rows without n-grams meet nothing."""
+    lone = rows.where("mark is null").select(*rows.columns, *[F.lit(None).cast(about.schema[c].dataType).alias(c) for c in about.columns if c != "mark"])
+    salted = rows.where("mark is not null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    dealt = about.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(dealt, ["mark", "salt"], "left").select(*lone.columns).union(lone)
+
+
 def one_of_each(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs``, its columns as they are, with one row of each class: that of the least doc_id, then
     of the least hash of its text, then the least row.  Rows without a doc_id never take the place
@@ -372,15 +378,16 @@ def one_of_each(docs: DataFrame, params: Params = Params()) -> DataFrame:
     got = join(docs, params=params)
     roots = components(got.links).withColumnRenamed("node", "mark")
     least = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "h"))).alias("first"), F.min(F.when(F.col("id").isNull(), F.col("h"))).alias("unkeyed")
-    own = cut(got.rows.where("mark is not null").groupBy("mark").agg(*least), "join-least")
+    own = cut(got.rows.where("mark is not null").groupBy("mark").agg(*least, F.count("*").alias("copies")), "join-least")
     named = own.join(roots, "mark").withColumn("salt", F.pmod(F.xxhash64("mark"), F.lit(SALTS)).cast("int"))
     groups = named.groupBy("root").agg(F.min("first").alias("group_first"), F.min("unkeyed").alias("group_unkeyed"))
     groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     linked = named.join(groups, ["root", "salt"]).select("mark", "group_first", "group_unkeyed")
-    leaders = own.join(linked, "mark", "left").select("mark", F.coalesce("group_first", "first").alias("first"), F.coalesce("group_unkeyed", "unkeyed").alias("unkeyed"))
+    # A row that is alone in its class, and that class in its group, stays.
+    leaders = own.join(linked.withColumn("linked", F.lit(True)), "mark", "left").where("copies > 1 or linked")
+    leaders = cut(leaders.select("mark", F.coalesce("group_first", "first").alias("first"), F.coalesce("group_unkeyed", "unkeyed").alias("unkeyed")), "join-leaders")
     beyond = F.when(F.col("id").isNull(), F.col("h") != F.col("unkeyed")).otherwise(F.struct("id", "h") != F.col("first"))
-    told = got.rows.where("mark is not null").join(leaders, "mark").select(F.col("id").alias("at_id"), F.col("h").alias("at_h"), F.coalesce(beyond, F.lit(False)).alias("gone"))
-    told = told.union(got.rows.where("mark is null").select("id", "h", F.lit(False)))
+    told = _by_mark(got.rows, leaders).select(F.col("id").alias("at_id"), F.col("h").alias("at_h"), F.coalesce(beyond, F.lit(False)).alias("gone"))
     told = told.groupBy("at_id", "at_h").agg(F.first("gone").alias("gone"), (F.count("*") > 1).alias("many")).where("gone or many")
     told = cut(told, "join-told")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
