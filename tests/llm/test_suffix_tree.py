@@ -207,3 +207,56 @@ def test_contexts_of_any_number_and_length(spark, follow, deviations):
                 c = max((tuple(seq[j:k]) for j in range(k + 1) if j == k or tuple(seq[j:k]) in states), key=len)
                 expected += math.log10(prob(c, seq[k]))
             assert abs(got[i] - expected) < 1e-6
+
+
+def test_runs_count_the_same(spark, monkeypatch):
+    """Against the plain tree, where each run counts its share of what follows contexts."""
+    monkeypatch.setattr(S, "_ONE_RUN", 0)
+    monkeypatch.setattr(S, "RUNS", 3)
+    rows, cut = [], S.cut
+
+    def counted(df, name):
+        out = cut(df, name)
+        if name == "lm-counts":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "cut", counted)
+    test_contexts_of_any_number_and_length(spark, 4, 1.0)
+    assert len(rows) >= 9 and sum(rows[:3]) > 30 and max(rows[:3]) < sum(rows[:3]) / 2
+
+
+def test_files_go_when_nothing_reads_them(spark):
+    import glob
+
+    from palimpsest.llm.common import scratch
+
+    def tables():
+        return {f.rsplit("/", 1)[1] for f in glob.glob(scratch(spark).removeprefix("file://") + "/lm-*")}
+
+    before = tables()
+    rows = S.score(spark.read.parquet(f"{TINY}/documents.parquet"))
+    # What the result reads; not the texts, nor what their contexts were counted by.
+    assert sorted(t.split("-")[1] for t in tables() - before) == ["scored", "terms", "words"]
+    assert rows.count() == spark.read.parquet(f"{TINY}/documents.parquet").count()
+
+
+def test_shuffles_go_with_the_table_they_made(spark):
+    import glob
+    import time
+
+    from palimpsest.sources import storage
+
+    def shuffles():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    setting = spark.conf.get(S._CLEAN)
+    rows, held = spark.range(100_000).repartition(4), shuffles()
+    storage.cut(rows, "lm-any")
+    kept = shuffles() - held
+    S.cut(rows, "lm-any")
+    until = time.time() + 20
+    while (left := shuffles() - held - kept) and time.time() < until:
+        time.sleep(0.2)
+    assert kept and not left and spark.conf.get(S._CLEAN) == setting
