@@ -260,3 +260,31 @@ def test_shuffles_go_with_the_table_they_made(spark):
     while (left := shuffles() - held - kept) and time.time() < until:
         time.sleep(0.2)
     assert kept and not left and spark.conf.get(S._CLEAN) == setting
+
+
+def test_seldom_pairs_are_not_shuffled(spark, monkeypatch):
+    """Of the pairs of a text of many words, those that stand there seldom meet in a shuffle as short hashes only."""
+    monkeypatch.setattr(S, "_ONE_RUN", 0)
+    monkeypatch.setattr(S, "_PART", 5000)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(["the", "same", "old", "words"] * 3 + [f"w{x}" for x in rng.integers(0, 40, 60)]), 1) for i in range(300)]
+    texts = S.encoded(spark.createDataFrame(rows, "k int, t string, f int")).select("w")
+    pairs = lambda words, place: [(words[np.flatnonzero(place > 0) - 1], words[place > 0])]
+    exact = {(r.a, r.b): r.n for r in S._counted(texts, pairs).collect()}
+    for least in (5, 15):
+        passed = S.frequent(texts, pairs, least, 300 * 74)
+        key = lambda k: S.followed(*(np.array([x], np.int64).view(np.uint64) for x in k))
+        fits = {k for k in exact if passed.passes(key(k))[0]}
+        often = {k for k, n in exact.items() if n >= least}
+        assert often <= fits and len(fits) <= len(often) + len(exact) // 10
+    sizes, counted = [], S._counted
+
+    def watched(where, found):
+        """The level's pairs that go into the shuffle."""
+        sizes.append(sum(r.n for r in counted(where, found).select("n").collect()))
+        return counted(where, found)
+
+    words = S.word_counts(texts)
+    monkeypatch.setattr(S, "_counted", watched)
+    list(S.levels(texts, words, 22200.0, S.Params(least=50, follow=15)))
+    assert sizes[0] <= 1.1 * sum(n for n in exact.values() if n >= 15) < sum(exact.values()) * 0.9
