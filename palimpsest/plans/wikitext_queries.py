@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.config import wiki_config
-from ..functions.udfs import normalize, parsed
+from ..functions.udfs import normalize, parsed, spread
 from ..operators import derive as D
 from ..sources import bundle, staging
 from ..sources.storage import cut, delete_at_exit, scratch
@@ -61,8 +61,12 @@ NORMAL = {
 }
 
 
+def _parts(spark: SparkSession, d: str) -> DataFrame:
+    return spread(adapter.read(spark, d, "part"), "p_partkey")
+
+
 def _normal_query(source: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, d: adapter.read(spark, d, "part").select("p_partkey", normalize(spark_text(source)).alias("normal"))
+    return lambda spark, d: _parts(spark, d).select("p_partkey", normalize(spark_text(source)).alias("normal"))
 
 
 for _name, (_source, _expected) in NORMAL.items():
@@ -111,7 +115,7 @@ def _extract_query(stretches: list[str | Ref]) -> Callable[[SparkSession, str],
     text = "".join(s if isinstance(s, str) else s.raw for s in stretches)
 
     def query(spark: SparkSession, d: str) -> DataFrame:
-        rows = adapter.read(spark, d, "part").select("p_partkey", F.explode(parsed(spark_text(text), F.lit("en.wikipedia.org"))).alias("r"))
+        rows = _parts(spark, d).select("p_partkey", F.explode(parsed(spark_text(text), F.lit("en.wikipedia.org"))).alias("r"))
         return rows.select("p_partkey", "r.raw_reference", "r.offset_start", "r.length", "r.reference_type", "r.reference_name")
 
     return query
@@ -140,7 +144,7 @@ FROM part, LATERAL (VALUES (0, {sql_text('http://e.org/«p_partkey»')}), (1, {s
 def extract_urls(spark: SparkSession, d: str) -> DataFrame:
     """The links of a reference in order, each once, without a sentence's stop."""
     text = spark_text("<ref>http://e.org/«p_partkey», https://f.org/«p_size»?a=«p_partkey» and http://e.org/«p_partkey».</ref>")
-    refs = adapter.read(spark, d, "part").select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
+    refs = _parts(spark, d).select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
     return refs.select("p_partkey", F.posexplode("r.urls").alias("place", "url"))
 
 
@@ -154,7 +158,7 @@ FROM part, LATERAL (VALUES
   (1, 'lang', '1', 'de'), (1, 'lang', '2', {sql_text('«p_brand»')}), (2, 'page', '1', {sql_text('«p_size»')})) AS t(place, name, k, v)""", logical=False)
 def extract_templates(spark: SparkSession, d: str) -> DataFrame:
     """Templates in the order they open, nested ones too, and their parameters."""
-    refs = adapter.read(spark, d, "part").select("p_partkey", F.explode(parsed(spark_text(_NESTED), F.lit("en.wikipedia.org"))).alias("r"))
+    refs = _parts(spark, d).select("p_partkey", F.explode(parsed(spark_text(_NESTED), F.lit("en.wikipedia.org"))).alias("r"))
     used = refs.select("p_partkey", F.posexplode("r.templates").alias("place", "t"))
     return used.select("p_partkey", "place", "t.template_name", F.explode("t.parameters").alias("p")).select("p_partkey", "place", "template_name", "p.key", "p.value")
 
@@ -169,7 +173,7 @@ def template_offset(spark: SparkSession, d: str) -> DataFrame:
     name; the third, of which there are two, by its text as it was; the last, not found
     there, has its reference's place."""
     text = spark_text("Text <ref>{{a|«p_name»}} {{b|«p_brand»}} {{B|«p_brand»}} {{c | «p_size»}}</ref>")
-    refs = adapter.read(spark, d, "part").select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
+    refs = _parts(spark, d).select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
     return refs.select("p_partkey", F.posexplode("r.template_offsets").alias("place", "offset_start"))
 
 
@@ -198,7 +202,7 @@ def wiki_config_sections(spark: SparkSession, d: str) -> DataFrame:
 def blank_references(spark: SparkSession, d: str) -> DataFrame:
     """References that are blank are none; an empty <ref> element is not blank."""
     text = F.when(F.col("p_partkey") % 3 == 0, F.lit("a<ref> </ref>")).when(F.col("p_partkey") % 3 == 1, F.lit(" \n "))
-    refs = adapter.read(spark, d, "part").select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
+    refs = _parts(spark, d).select("p_partkey", F.explode(parsed(text, F.lit("en.wikipedia.org"))).alias("r"))
     return refs.select("p_partkey", "r.raw_reference").where(F.length(F.trim("raw_reference")) > 0)
 
 
@@ -224,7 +228,7 @@ REVISED = f"""
 
 def revised(spark: SparkSession, d: str) -> DataFrame:
     """Revisions with texts."""
-    rows = adapter.raw_revisions(spark, d).withColumns({"m": F.col("revision_id") % 50, "h": F.col("revision_id") % 7})
+    rows = spread(adapter.raw_revisions(spark, d), "revision_id", 200_000).withColumns({"m": F.col("revision_id") % 50, "h": F.col("revision_id") % 7})
     text = F.when(F.col("revision_id") % 4 != 0, spark_text(f"Text {_RAW} and {_LINK}")).otherwise("no reference here")
     return rows.select(
         "page_id", (F.col("revision_id") % 3).cast("int").alias("namespace_id"), "revision_id", "parent_revision_id", "revision_timestamp", text.alias("revision_text")
