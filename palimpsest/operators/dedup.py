@@ -34,6 +34,11 @@ def representative(df: DataFrame, key: tuple[str, ...], required: tuple[str, ...
     return least.select(*[F.col(c) if c in key else F.col(f"least.{c}").alias(c) for c in df.columns])
 
 
+def required_rows(df: DataFrame, table: str) -> DataFrame:
+    """The rows whose columns that a staged table requires are there."""
+    return df.na.drop(subset=list(IDENTITY[table].required)) if IDENTITY[table].required else df
+
+
 def dedup_table(df: DataFrame, table: str) -> DataFrame:
     """A staged table by its own key and required columns."""
     if table not in STAGED:

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from ..sources.storage import cut
 
 
+#: Rows that every task may be sent.
+FEW = 100_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The right side of a join.  What Spark expects of a compressed table, or of texts made of numbers, is far below
+    what they take in memory, and all of it would pass through the driver: beyond FEW rows both sides are shuffled."""
+    return df if df.limit(FEW + 1).count() <= FEW else df.hint("merge")
+
+
 def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_column: str = "id") -> DataFrame:
     """Add ids start + 1, start + 2, ... in the order of ``order``, a key of ``df``.
 
@@ -27,7 +37,7 @@ def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_column: str =
 
 def extend_ids(old: DataFrame, new: DataFrame, key: list[str], id_column: str = "id") -> DataFrame:
     """(key, id) of all keys: the old ones as they are, new ones above the highest."""
-    fresh = new.select(*key).distinct().join(old.select(*key), key, "left_anti")
+    fresh = new.select(*key).distinct().join(bounded(old.select(*key)), key, "left_anti")
     highest = old.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
     kind = old.schema[id_column].dataType
     ids = assign_ids(fresh, key, highest, id_column).withColumn(id_column, F.col(id_column).cast(kind))
@@ -39,7 +49,7 @@ def resolve(rows: DataFrame, ids: DataFrame, on: dict[str, str], as_column: str,
     of ``ids``; rows without a match stay with a null or go."""
     lookup = ids.select(*[F.col(v).alias(f"_k{i}") for i, v in enumerate(on.values())], F.col(id_column).alias(as_column))
     match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(on)]
-    out = rows.join(lookup, match, "left" if keep_missing else "inner")
+    out = rows.join(bounded(lookup), match, "left" if keep_missing else "inner")
     return out.drop(*[f"_k{i}" for i in range(len(on))])
 
 

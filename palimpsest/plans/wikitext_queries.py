@@ -315,7 +315,7 @@ def bundle_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _loose(spark: SparkSession, d: str) -> DataFrame:
-    return adapter.raw_instances(spark, d).select("page_id", "raw_sha1", "revision_id")
+    return adapter.raw_histories(spark, d)
 
 
 @registered("staging_round_trip", "SELECT page_id, raw_sha1, revision_id FROM x_raw UNION ALL SELECT page_id, raw_sha1, revision_id FROM x_raw WHERE page_id % 2 = 0")

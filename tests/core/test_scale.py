@@ -12,3 +12,15 @@ SF = "/root/testdata/sf0.001"
 def test_texts_of_one_file_are_parsed_in_many_tasks(spark, name):
     rows = entry.queries()[name](spark, SF)
     assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism > 1
+
+
+@pytest.mark.parametrize("name", ["citation_stats", "removed_at"])
+def test_parts_follow_the_rows(spark, monkeypatch, name):
+    """A task's rows do not grow with the table."""
+    from palimpsest.plans import adapter
+
+    expected = sorted(map(tuple, entry.queries()[name](spark, SF).collect()), key=repr)
+    monkeypatch.setattr(adapter, "ROWS_A_PART", 500)
+    rows = entry.queries()[name](spark, SF)
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    assert sorted(map(tuple, rows.collect()), key=repr) == expected
