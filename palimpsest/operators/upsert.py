@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import bounded
+
 REPLACE, COALESCE, IGNORE = "replace", "coalesce", "ignore"
 
 
@@ -43,8 +45,8 @@ def changes(old: DataFrame, new: DataFrame, key: list[str], policy: str = REPLAC
     rest = [c for c in columns if c not in key]
     fresh = merged(new.select(*columns).na.drop(subset=key), key, rest, policy).select(*columns)
     if policy == IGNORE or not rest:
-        return fresh.join(old.select(*key), key, "left_anti").select(*columns), fresh.limit(0)
-    both = fresh.alias("n").join(old.withColumn("_old", F.lit(True)).alias("o"), [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key], "left")
+        return fresh.join(bounded(old.select(*key)), key, "left_anti").select(*columns), fresh.limit(0)
+    both = fresh.alias("n").join(bounded(old.withColumn("_old", F.lit(True))).alias("o"), [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key], "left")
     chosen = {c: F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")) if policy == COALESCE or c in key else F.col(f"n.{c}") for c in columns}
     differs = F.lit(False)
     for c in rest:

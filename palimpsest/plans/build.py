@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..operators import upsert as U
 from ..operators.dedup import dedup_table
 from ..operators.derive import DEFAULT_DOMAIN, derive, references
-from ..operators.keys import assign_ids, resolve
+from ..operators.keys import assign_ids, bounded, resolve
 from ..schemas import DDL, SERVED, STAGED
 from ..sources.bundle import read_bundles
 from ..sources.staging import read_staged, staged_or_empty, write_deduped, write_staged
@@ -89,7 +89,7 @@ class Loader:
         if not changed.isEmpty():
             rest = [c for c in kinds if c not in key]
             now = changed.withColumn("_new", F.lit(True)).withColumnsRenamed({c: f"_{c}" for c in rest})
-            kept = old.join(now, key, "left").select(*[F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in SERVED[name].names])
+            kept = old.join(bounded(now), key, "left").select(*[F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in SERVED[name].names])
             replace_table(kept.unionByName(added), path)
         elif not exists(self.spark, path) or not added.isEmpty():
             append_table(added, path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.derive import conform
+from ..operators.keys import bounded
 from ..schemas import STAGED
 from ..sources.storage import delete_at_exit, read_table, scratch
 from ..streaming import ingest
@@ -22,6 +23,8 @@ from .build import Loader
 from .registry import registered
 from .wikitext_queries import REVISED, bundle_lines, revised
 
+#: Revisions of a bundle that ``ingest_bundles`` writes, in each of its runs, about.
+ROWS_A_BUNDLE = 200_000
 _LOADED: dict[tuple[str, str], Loader] = {}
 #: Pages of the first load, and of either.
 _A, _ANY = "page_id % 3 <> 0", "(page_id % 3 <> 0 OR page_id % 2 = 0)"
@@ -100,7 +103,7 @@ def loaded(spark: SparkSession, sf: str) -> Loader:
         delete_at_exit(spark, work)
         for second in (False, True):
             for name, df in _staged(spark, sf, second).items():
-                df.coalesce(1).write.parquet(f"{work}/{second}/{name}")
+                df.write.parquet(f"{work}/{second}/{name}")
             loader = Loader(spark, f"{work}/{second}", f"{work}/served")
             loader.load()
         _LOADED[known] = loader
@@ -132,7 +135,7 @@ def load_documents(spark: SparkSession, d: str) -> DataFrame:
     """New values take the place of old ones where they are not null."""
     t = loaded(spark, d)
     labels = t.served("containers").select(F.col("id").alias("has_container"), "label")
-    return t.served("documents").join(labels, "has_container").select("page_id", "label", "language_code")
+    return t.served("documents").join(bounded(labels), "has_container").select("page_id", "label", "language_code")
 
 
 @_load_query("SELECT normalized_sha1, CASE WHEN b THEN 'new ' || text ELSE text END AS reference_normalized, CASE WHEN b THEN pb ELSE pa END AS page_id FROM n WHERE a OR b", "load_normalized_citations")
@@ -140,7 +143,7 @@ def load_normalized_citations(spark: SparkSession, d: str) -> DataFrame:
     """The last load's text and page; a citation of a page without a document is passed over."""
     t = loaded(spark, d)
     pages = t.served("documents").select(F.col("id").alias("appears_on_article"), "page_id")
-    return t.served("normalized_citations").join(pages, "appears_on_article").select("normalized_sha1", "reference_normalized", "page_id")
+    return t.served("normalized_citations").join(bounded(pages), "appears_on_article").select("normalized_sha1", "reference_normalized", "page_id")
 
 
 @_load_query("""
@@ -150,7 +153,7 @@ def load_citation_instances(spark: SparkSession, d: str) -> DataFrame:
     """By page and raw form; those of a citation that is not served are passed over."""
     t = loaded(spark, d)
     texts = t.served("normalized_citations").select(F.col("id").alias("normalized_id"), "normalized_sha1")
-    return t.served("citation_instances").join(texts, "normalized_id").select("page_id", "raw_sha1", "normalized_sha1", "reference_type", "reference_name")
+    return t.served("citation_instances").join(bounded(texts), "normalized_id").select("page_id", "raw_sha1", "normalized_sha1", "reference_type", "reference_name")
 
 
 @_load_query("""
@@ -169,7 +172,7 @@ def load_citation_history(spark: SparkSession, d: str) -> DataFrame:
     """Rows are added and never changed."""
     t = loaded(spark, d)
     forms = t.served("citation_instances").select(F.col("id").alias("citation_instance_id"), "raw_sha1")
-    return t.served("citation_history").join(forms, "citation_instance_id").select("page_id", "raw_sha1", "revision_id")
+    return t.served("citation_history").join(bounded(forms), "citation_instance_id").select("page_id", "raw_sha1", "revision_id")
 
 
 def _domains(t: Loader) -> DataFrame:
@@ -185,7 +188,7 @@ def load_web_resources(spark: SparkSession, d: str) -> DataFrame:
     """By the hash of the address; what is not known leaves what was."""
     t = loaded(spark, d)
     pages = t.served("documents").select(F.col("id").alias("instance_of_document"), "page_id")
-    rows = t.served("web_resources").where(F.col("url_hash") == C.url_hash(F.col("url"))).join(_domains(t), "domain_id", "left").join(pages, "instance_of_document", "left")
+    rows = t.served("web_resources").where(F.col("url_hash") == C.url_hash(F.col("url"))).join(_domains(t), "domain_id", "left").join(bounded(pages), "instance_of_document", "left")
     return rows.select("url", "domain", "numeric_page_id", "numeric_namespace_id", "page_id")
 
 
@@ -194,7 +197,7 @@ def load_citation_web_resources(spark: SparkSession, d: str) -> DataFrame:
     t = loaded(spark, d)
     texts = t.served("normalized_citations").select(F.col("id").alias("normalized_id"), "normalized_sha1")
     urls = t.served("web_resources").select(F.col("id").alias("web_resource_id"), "url")
-    return t.served("normalized_citation_web_resources").join(texts, "normalized_id").join(urls, "web_resource_id").select("normalized_sha1", "url")
+    return t.served("normalized_citation_web_resources").join(bounded(texts), "normalized_id").join(bounded(urls), "web_resource_id").select("normalized_sha1", "url")
 
 
 @_load_query("SELECT dom AS domain, name FROM t", "load_wiki_templates")
@@ -213,7 +216,7 @@ def load_template_data(spark: SparkSession, d: str) -> DataFrame:
     t = loaded(spark, d)
     texts = t.served("normalized_citations").select(F.col("id").alias("normalized_id"), "normalized_sha1")
     names = t.served("wiki_templates").select(F.col("id").alias("wiki_template_id"), "domain_id", "name").join(_domains(t), "domain_id")
-    rows = t.served("template_data").join(texts, "normalized_id").join(names, "wiki_template_id")
+    rows = t.served("template_data").join(bounded(texts), "normalized_id").join(bounded(names), "wiki_template_id")
     return rows.select("domain", "name", "normalized_sha1", "offset_start", "parameter_key", "parameter_key_md5", "parameter_value")
 
 
@@ -225,9 +228,11 @@ def ingest_bundles(spark: SparkSession, d: str) -> DataFrame:
     work = f"{scratch(spark)}/ingest-{uuid.uuid4().hex}"
     delete_at_exit(spark, work)
     rows = revised(spark, d)
+    # A bundle is one task's; a batch of the stream takes up to 64 of them.
+    bundles = min(64, max(4, -(-adapter.read(spark, d, "orders").count() // ROWS_A_BUNDLE)))
     for part in (0, 1):
         lines = bundle_lines(rows.where(F.col("page_id") % 2 == part))
-        lines.coalesce(4).write.mode("append").option("compression", "gzip").text(f"{work}/in")
+        lines.repartition(bundles).write.mode("append").option("compression", "gzip").text(f"{work}/in")
         ingest.ingest_bundles(spark, f"{work}/in", work, suffix=".txt.gz", load=True)
     t = Loader(spark, "", f"{work}/served")
     instances = t.served("citation_instances").groupBy("page_id").agg(F.count("*").alias("instances"))

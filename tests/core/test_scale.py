@@ -24,3 +24,16 @@ def test_parts_follow_the_rows(spark, monkeypatch, name):
     rows = entry.queries()[name](spark, SF)
     assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 8
     assert sorted(map(tuple, rows.collect()), key=repr) == expected
+
+
+def test_many_rows_are_not_sent_through_the_driver(spark, monkeypatch):
+    """A look-up of more rows than every task may be sent meets its rows in a shuffle."""
+    from palimpsest.operators import keys
+
+    rows = spark.createDataFrame([("a",), ("b",)], "host string")
+    ids = spark.createDataFrame([(i, chr(97 + i)) for i in range(20)], "id bigint, value string")
+    plan = lambda: keys.resolve(rows, ids, {"host": "value"}, "domain_id", keep_missing=True)._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(keys, "FEW", 10)
+    assert "SortMergeJoin" in plan()
+    got = keys.resolve(rows, ids, {"host": "value"}, "domain_id", keep_missing=True).select("host", "domain_id").collect()
+    assert sorted(map(tuple, got)) == [("a", 0), ("b", 1)]
