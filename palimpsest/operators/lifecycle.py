@@ -17,6 +17,13 @@ def _as_is(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def at_revisions(histories: DataFrame, revisions: DataFrame) -> DataFrame:
+    """Histories beside what is known of their revisions, where these are of the same page.  Rows meet by revision alone, as
+    they are dealt out: of two keys in a join, Spark would deal all rows anew by both."""
+    rows = histories.join(revisions.withColumnRenamed("page_id", "own_page"), "revision_id")
+    return rows.where((F.col("page_id") <= F.col("own_page")) & (F.col("page_id") >= F.col("own_page"))).drop("own_page")
+
+
 def next_revision(revisions: DataFrame) -> DataFrame:
     """(page_id, revision_id, next_id, next_ts): the page's next revision by id, whatever its time."""
     by_id = Window.partitionBy("page_id").orderBy("revision_id")
@@ -53,7 +60,7 @@ def life(histories: DataFrame, revisions: DataFrame, deal: Callable[..., DataFra
     keys to as many parts as they need."""
     page, own = Window.partitionBy("page_id"), Window.partitionBy("page_id", "raw_sha1")
     by_id = page.orderBy("revision_id")
-    steps = revisions.select(
+    steps = deal(revisions, "page_id").select(
         "page_id",
         "revision_id",
         "revision_timestamp",
@@ -63,7 +70,7 @@ def life(histories: DataFrame, revisions: DataFrame, deal: Callable[..., DataFra
     )
     # One shuffle by page and citation serves the extremes, and the step to the next row
     # tells whether the citation stands in the page's next revision.
-    rows = deal(histories.join(deal(steps, "revision_id"), ["page_id", "revision_id"]), "page_id", "raw_sha1")
+    rows = deal(at_revisions(histories, deal(steps, "revision_id")), "page_id", "raw_sha1")
     again = F.lead("revision_id").over(own.orderBy("revision_id"))
     gone = F.col("next_id").isNotNull() & ~F.col("again").eqNullSafe(F.col("next_id"))
     rows = rows.select(
@@ -93,9 +100,9 @@ def life(histories: DataFrame, revisions: DataFrame, deal: Callable[..., DataFra
 def presence_intervals(histories: DataFrame, revisions: DataFrame, deal: Callable[..., DataFrame] = _as_is) -> DataFrame:
     """(page_id, raw_sha1, from_revision, to_revision, n): spans of revisions that follow each
     other by id in which a citation stands; a citation put back has a span more."""
-    place = revisions.select("page_id", "revision_id", F.row_number().over(Window.partitionBy("page_id").orderBy("revision_id")).alias("place"))
+    place = deal(revisions, "page_id").select("page_id", "revision_id", F.row_number().over(Window.partitionBy("page_id").orderBy("revision_id")).alias("place"))
     own = Window.partitionBy("page_id", "raw_sha1").orderBy("place")
-    rows = deal(histories.distinct().join(deal(place, "revision_id"), ["page_id", "revision_id"]), "page_id", "raw_sha1")
+    rows = deal(at_revisions(histories.distinct(), deal(place, "revision_id")), "page_id", "raw_sha1")
     island = rows.withColumn("island", F.col("place") - F.row_number().over(own))
     return (
         island.groupBy("page_id", "raw_sha1", "island")
