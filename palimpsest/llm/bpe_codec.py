@@ -41,6 +41,7 @@ LATER_MARKS = (
     (0x1E4EC, 0x1E4EF),
 )
 _LATER = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER_MARKS) + "]+)")
+_SMALLER = re.compile("[" + "".join(map(chr, SMALL)) + "]")
 
 
 def composed(text: str) -> str:
@@ -48,6 +49,18 @@ def composed(text: str) -> str:
     return "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(_LATER.split(text))])
 
 
+def lowered(text: str) -> str:
+    """``text`` in the library's normal form and lowered.  No letter of it depends on what stands beyond white space."""
+    try:
+        text.encode("latin-1")  # all of these are in normal form
+        return text.lower()
+    except UnicodeEncodeError:
+        pass
+    # The library lowers letter by letter, without the rule for a final sigma.
+    text = (composed(text) if _LATER.search(text) else unicodedata.normalize("NFC", text)).replace("Σ", "σ")
+    return (text.translate(SMALL) if _SMALLER.search(text) else text).lower()
+
+
 class WordCodec:
     """Encodes and decodes as the tokenizer library does for a lower-casing BPE with word ends."""
 
@@ -66,19 +79,18 @@ class WordCodec:
             for i, (a, b) in enumerate(zip(own, own[1:])):
                 (self.joined_last if ends and i == len(own) - 2 else self.joined)[a << 8 | b] = 1
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(table.specials, key=len, reverse=True))) + ")") if table.specials else None
-        self.fragments = Memo(self._fragment, memo)
-        self.words = Memo(self._word, memo)
-        self.chunks = Memo(self._chunk, memo)
+        self.fragments = Memo(self._fragment, memo, 64)
+        # Words are chunks too, and held once.
+        self.chunks = Memo(self._chunk, 2 * memo, 64)
 
     def cuts(self, word: bytes) -> list[bytes]:
         """``word`` cut where no token can cross."""
-        start, out, n = 0, [], len(word)
-        for i in range(1, n):
-            pair = word[i - 1] << 8 | word[i]
-            if not (self.joined_last if i == n - 1 else self.joined)[pair]:
-                out.append(word[start:i])
-                start = i
-        return [*out, word[start:]]
+        n, joined = len(word), self.joined
+        at = [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if not joined[a << 8 | b]]
+        # At the word's end other tokens stand.
+        if n > 1 and self.joined_last[word[-2] << 8 | word[-1]] == (n - 1 in at[-1:]):
+            at = at[:-1] if n - 1 in at[-1:] else [*at, n - 1]
+        return [word[i:j] for i, j in zip([0, *at], [*at, n])] if at else [word]
 
     def _fragment(self, key: bytes) -> bytes:
         """``key``: a fragment's bytes, and LAST after them if it ends its word."""
@@ -96,25 +108,23 @@ class WordCodec:
     def _word(self, word: str) -> bytes:
         parts = self.cuts(word.encode())
         parts[-1] += LAST
-        return b"".join([self.fragments[p] if len(p) < 64 else self._fragment(p) for p in parts])
+        return self.fragments[parts[0]] if len(parts) == 1 else b"".join([self.fragments[p] for p in parts])
 
     def _chunk(self, chunk: str) -> bytes:
+        """``chunk``: lowered, without white space."""
+        if chunk.isalpha():
+            return self._word(chunk)
         if chunk.isascii():
-            lowered = chunk.lower()
-        else:
-            # The library lowers letter by letter, without the rule for a final sigma.
-            lowered = composed(chunk).replace("Σ", "σ").translate(SMALL).lower()
-        if lowered.isalpha():
-            words = [lowered]
-        elif lowered.isascii():
-            words = _WORDS.findall(lowered)
+            words = _WORDS.findall(chunk)
         else:
-            words = [lowered[m.start() : m.end()] for m in _WORDS.finditer(shadow(lowered))]
-        return b"".join([self.words[w] if len(w) < 64 else self._word(w) for w in words])
+            words = [chunk[m.start() : m.end()] for m in _WORDS.finditer(shadow(chunk))]
+        if len(words) == 1 and words[0] == chunk:
+            return self._word(chunk)
+        return b"".join([self.chunks[w] for w in words])
 
     def _plain(self, text: str) -> bytes:
-        chunks = self.chunks
-        return b"".join([chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text)])
+        # A text is lowered at once, so that forms of one word are one chunk.
+        return b"".join(map(self.chunks.__getitem__, _CHUNK.findall(lowered(text))))
 
     def encode(self, text: str | None) -> bytes:
         """Identifiers of the whole of ``text``, little-endian unsigned 32-bit integers; null is

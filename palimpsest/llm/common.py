@@ -98,13 +98,16 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 
 class Memo(dict):
     """A dictionary that computes what it lacks.  It holds ``most`` entries in two halves: when
-    the young half is full it becomes the old one, whose entries come back as they are used."""
+    the young half is full it becomes the old one, whose entries come back as they are used.
+    Keys of ``longest`` or more are computed each time."""
 
-    def __init__(self, compute: Callable, most: int) -> None:
+    def __init__(self, compute: Callable, most: int, longest: int | None = None) -> None:
         super().__init__()
-        self.compute, self.half, self.old = compute, most // 2, {}
+        self.compute, self.half, self.old, self.longest = compute, most // 2, {}, longest
 
     def __missing__(self, key):
+        if self.longest is not None and len(key) >= self.longest:
+            return self.compute(key)
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)

@@ -110,3 +110,13 @@ def test_limit(spark, limit, over):
     df = spark.createDataFrame([(1, " a b c")], "doc_id bigint, text string")
     row = token_counts(df, BYTES, limit).first()
     assert (row.n_tokens, row.over_limit) == (3, over)
+
+
+def test_forms_of_a_word_are_encoded_once(monkeypatch):
+    """A text is lowered before it is cut, and a word that is a chunk of its own too is held once."""
+    codec = WordCodec(MergeTable.from_file(P.path("word_bpe_49k.json")))
+    worked = []
+    monkeypatch.setattr(codec, "cuts", lambda word, cuts=codec.cuts: worked.append(word) or cuts(word))
+    ids = codec.encode("Straßen straßen, STRASSEN STRAßEN")
+    assert sorted(worked) == [b",", b"strassen", "straßen".encode()]
+    assert codec.decode(ids).split() == codec.decode(codec.encode("straßen straßen , strassen straßen")).split()
