@@ -27,7 +27,7 @@ SMALL |= {0x10D50 + i: 0x10D70 + i for i in range(22)} | {0x16EA0 + i: 0x16EBB +
 def shadow(text: str) -> str:
     """``text`` with a private-use letter for each character that came after Unicode 16:
     the regex module takes some for letters or digits, the library takes them for signs."""
-    if text.isascii():
+    if text.isascii() or text.isprintable():  # unassigned characters are not printable
         return text
     return "".join(["\ue000" if unicodedata.category(c) == "Cn" and not any(a <= ord(c) <= b for a, b in UNICODE_16) else c for c in text])
 
@@ -76,44 +76,43 @@ def merge(symbols: list[int], ranks: dict[int, int]) -> tuple[list[int], int]:
     """Merge ``symbols`` in place, always the leftmost pair of the lowest rank.
 
     A heap holds rank << 40 | position of each adjacent pair; a doubly linked
-    list joins the symbols left.  Stale heap entries are seen by their rank.
+    list joins the symbols left.  ``pairs`` has what each position's pair becomes
+    now, by which stale heap entries are seen.
     Returns the list, with -1 where a symbol went, and the number of merges.
     """
     n = len(symbols)
     get = ranks.get
-    heap = []
-    for i in range(n - 1):
-        found = get(symbols[i] << 32 | symbols[i + 1])
-        if found is not None:
-            heap.append((found >> 32) << 40 | i)
+    pairs = [get(a << 32 | b, -1) for a, b in zip(symbols, symbols[1:])]
+    heap = [found >> 32 << 40 | i for i, found in enumerate(pairs) if found >= 0]
     if not heap:
         return symbols, 0
     heapify(heap)
+    pairs.append(-1)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     merges = 0
     while heap:
         entry = heappop(heap)
         i = entry & 0xFFFFFFFFFF
-        left, j = symbols[i], after[i]
-        if left < 0 or j >= n:
-            continue
-        found = get(left << 32 | symbols[j])
-        if found is None or found >> 32 != entry >> 40:
+        found = pairs[i]
+        if found >> 32 != entry >> 40:
             continue
         new = found & 0xFFFFFFFF
-        symbols[i], symbols[j] = new, -1
+        j = after[i]
+        symbols[i], symbols[j], pairs[j] = new, -1, -1
         k = after[i] = after[j]
         merges += 1
         if k < n:
             before[k] = i
-            found = get(new << 32 | symbols[k])
-            if found is not None:
-                heappush(heap, (found >> 32) << 40 | i)
+            found = pairs[i] = get(new << 32 | symbols[k], -1)
+            if found >= 0:
+                heappush(heap, found >> 32 << 40 | i)
+        else:
+            pairs[i] = -1
         h = before[i]
         if h >= 0:
-            found = get(symbols[h] << 32 | new)
-            if found is not None:
-                heappush(heap, (found >> 32) << 40 | h)
+            found = pairs[h] = get(symbols[h] << 32 | new, -1)
+            if found >= 0:
+                heappush(heap, found >> 32 << 40 | h)
     return symbols, merges
 
 

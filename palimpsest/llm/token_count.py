@@ -32,8 +32,8 @@ class TokenCounter:
         letters = byte_letters()
         self.first = [table.vocab[x] for x in letters]
         self.specials = re.compile("|".join(map(re.escape, sorted(table.specials, key=len, reverse=True)))) if table.specials else None
-        self.pieces = Memo(self._piece, memo)
-        self.chunks = Memo(self._chunk, memo)
+        # Pieces are chunks too, and held once.
+        self.chunks = Memo(self._chunk, 2 * memo, 64)
 
     def _piece(self, piece: str) -> int:
         symbols = [self.first[b] for b in piece.encode()]
@@ -41,11 +41,13 @@ class TokenCounter:
         return n - merge(symbols, self.ranks)[1]
 
     def _chunk(self, chunk: str) -> int:
-        pieces = (chunk[m.start() : m.end()] for m in _PIECE.finditer(shadow(chunk)))
-        return sum(self.pieces[p] if len(p) < 64 else self._piece(p) for p in pieces)
+        if chunk[chunk[0] == " " :].isalpha():
+            return self._piece(chunk)
+        pieces = [chunk[m.start() : m.end()] for m in _PIECE.finditer(shadow(chunk))]
+        return self._piece(chunk) if len(pieces) == 1 else sum(map(self.chunks.__getitem__, pieces))
 
     def _plain(self, text: str) -> int:
-        return sum(self.chunks[c] if len(c) < 64 else self._chunk(c) for c in _CHUNK.findall(text))
+        return sum(map(self.chunks.__getitem__, _CHUNK.findall(text)))
 
     def count(self, text: str | None) -> int:
         """Tokens of ``text``; a null is an empty text.  Special strings count one each."""

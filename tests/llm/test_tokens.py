@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from palimpsest.llm.bpe_codec import WordCodec, encode_table
+from palimpsest.llm.common import Memo
 from palimpsest.llm.merges import MergeTable, byte_letters, merge, merge_short
 from palimpsest.llm.token_count import TokenCounter, token_counts
 
@@ -120,3 +121,22 @@ def test_forms_of_a_word_are_encoded_once(monkeypatch):
     ids = codec.encode("Straßen straßen, STRASSEN STRAßEN")
     assert sorted(worked) == [b",", b"strassen", "straßen".encode()]
     assert codec.decode(ids).split() == codec.decode(codec.encode("straßen straßen , strassen straßen")).split()
+
+
+def test_a_merge_looks_up_new_neighbours_only():
+    """Each pair is looked up once as it comes to be, and a piece that is a chunk of its own too is held once."""
+
+    class Ranks(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    ranks = Ranks(TABLE.ranks)
+    symbols = [COUNTER.first[b] for b in b" internationalisationinternationalisation"]
+    merges = merge(symbols, ranks)[1]
+    assert merges > 25 and ranks.asked <= 41 - 1 + 2 * merges
+    counter = TokenCounter(TABLE)
+    assert counter.count(" word word word, word") == len(ids(BYTES, " word word word, word"))
+    assert sorted(k for memo in vars(counter).values() if isinstance(memo, Memo) for k in memo) == [" word", " word,", ","]
