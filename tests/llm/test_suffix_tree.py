@@ -288,3 +288,24 @@ def test_seldom_pairs_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(S, "_counted", watched)
     list(S.levels(texts, words, 22200.0, S.Params(least=50, follow=15)))
     assert sizes[0] <= 1.1 * sum(n for n in exact.values() if n >= 15) < sum(exact.values()) * 0.9
+
+
+def test_texts_are_packed_in_blocks(spark):
+    """A hash stands once in a block; words, texts and their rows come back as they were, those that are not learnt from apart."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.5, i % 90) % 1000) if i % 7 else None, i % 3) for i in range(600)]
+    blocks = S.encoded(spark.createDataFrame(rows, "k int, t string, f int").repartition(2)).toArrow().combine_chunks()
+    assert 1 < blocks.num_rows < 60
+    got, size = {}, 0
+    for batch in blocks.to_batches():
+        size += sum(map(len, batch["w"].to_pylist()))
+        for part, w, starts in S._sequences([batch.select(["k", "f", "w"])]):
+            for k, f, a, b in zip(part["k"].to_pylist(), part["f"].to_pylist(), starts, starts[1:]):
+                got[k] = (f, w[a:b].tolist())
+    raw = {k: (t or "").encode() for k, t, _ in rows}
+    keys = {k: S.word_keys(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0].tolist() for k, t in raw.items()}
+    assert got == {k: (f, [S.START, *keys[k], S.END]) for k, _, f in rows}
+    assert all((f > 0) == train for fs, train in zip(blocks["f"].to_pylist(), blocks["train"].to_pylist()) for f in fs)
+    assert size < 4 * sum(len(w) for _, w in got.values())
+    for words in (np.array([S.START], np.uint64), np.array([S.APART, 3, 3, 4, S.APART, 9], np.uint64), np.arange(70_000, dtype=np.uint64)):
+        assert np.array_equal(S.unpack_words(S.pa.py_buffer(S.pack_words(words))), words)
